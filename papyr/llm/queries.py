@@ -4,13 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyr.llm import bpe, cutoff, mixing
+from papyr.llm import bpe, cutoff, encoding, mixing
 from papyr.session import table
 
 
+def rec_id(*names: str) -> Column:
+    """The record's name: its key, or dataset and number joined by two hyphens."""
+    return F.concat_ws("--", *[F.col(n).cast("string") for n in names])
+
+
+def _restored(spark: SparkSession, base: str) -> DataFrame:
+    """(src, rec_id, restored, chains, lost, damaged) of all documents and answers."""
+    docs, pairs = table(spark, base, "documents"), table(spark, base, "pairs")
+    texts = docs.select(F.lit("documents").alias("src"), rec_id("doc_id").alias("rec_id"), encoding.language_column(F.col("lang")).alias("lang"), "text")
+    answers = pairs.select(F.lit("pairs").alias("src"), rec_id("dataset", "i").alias("rec_id"), F.lit("other").alias("lang"), F.col("a").alias("text"))
+    every = texts.unionByName(answers)
+    return encoding.repair_column(every, ["src", "rec_id"], "text", encoding.learn(every))
+
+
+def p1_found(spark: SparkSession, base: str) -> DataFrame:
+    return _restored(spark, base).where("damaged").select("src", "rec_id").distinct()
+
+
+def p1_restored(spark: SparkSession, base: str) -> DataFrame:
+    """Each delivered record with the text as it was, the chains undone, and the characters that stay lost."""
+    return _restored(spark, base).select("src", "rec_id", F.col("restored").alias("text"), F.array_join("chains", " ; ").alias("chains"), "lost")
+
+
 def p5_found(spark: SparkSession, base: str) -> DataFrame:
     return cutoff.graded_cutoffs(table(spark, base, "graded_rows"), table(spark, base, "keep_targets"))
 
@@ -30,6 +53,8 @@ def p8_report(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
+    "p1_restored": p1_restored,
     "p5_found": p5_found,
     "p7_ids": p7_ids,
     "p8_mixture": p8_mixture,

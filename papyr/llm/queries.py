@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyr.llm import bpe, cutoff, encoding, mixing
+from papyr.llm import bpe, cutoff, encoding, language, mixing
 from papyr.session import table
 
 
@@ -52,6 +52,23 @@ def p8_report(spark: SparkSession, base: str) -> DataFrame:
     return mixing.mix(sizes, table(spark, base, "mix_targets"))[1]
 
 
+def p9_found(spark: SparkSession, base: str) -> DataFrame:
+    docs = table(spark, base, "documents")
+    return language.languages(docs, language.learn(docs)).where("cased").select("doc_id", "lang")
+
+
+def p9_languages(spark: SparkSession, base: str) -> DataFrame:
+    """Every language of every document with its confidence, beside what the document's own label names."""
+    docs = table(spark, base, "documents")
+    return language.languages(docs, language.learn(docs)).select("doc_id", "label", "lang", "confidence")
+
+
+def p9_segments(spark: SparkSession, base: str) -> DataFrame:
+    """The stretches of each document in one language, with their places and confidences."""
+    docs = table(spark, base, "documents")
+    return language.segments(docs, language.learn(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_restored": p1_restored,
@@ -59,6 +76,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p7_ids": p7_ids,
     "p8_mixture": p8_mixture,
     "p8_report": p8_report,
+    "p9_found": p9_found,
+    "p9_languages": p9_languages,
+    "p9_segments": p9_segments,
 }
 
 SQL = {

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyr.llm import bpe, cutoff, encoding, language, mixing
+from papyr.llm import bpe, cutoff, defects, encoding, language, mixing
 from papyr.session import table
 
 
@@ -38,6 +38,11 @@ def p5_found(spark: SparkSession, base: str) -> DataFrame:
     return cutoff.graded_cutoffs(table(spark, base, "graded_rows"), table(spark, base, "keep_targets"))
 
 
+def p6_found(spark: SparkSession, base: str) -> DataFrame:
+    records = defects.turns_of_pairs(table(spark, base, "pairs")).unionByName(defects.turns_of_conversations(table(spark, base, "conversations_nested")))
+    return defects.find(records, defects.learn(records)).distinct()
+
+
 def p7_ids(spark: SparkSession, base: str) -> DataFrame:
     return bpe.encode_column(table(spark, base, "documents"), "doc_id", "text")
 
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_restored": p1_restored,
     "p5_found": p5_found,
+    "p6_found": p6_found,
     "p7_ids": p7_ids,
     "p8_mixture": p8_mixture,
     "p8_report": p8_report,

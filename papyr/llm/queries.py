@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyr.llm import bpe, cutoff, defects, encoding, language, mixing
+from papyr.llm import bpe, cutoff, defects, encoding, language, mixing, quality
 from papyr.session import table
 
 
@@ -34,6 +34,27 @@ def p1_restored(spark: SparkSession, base: str) -> DataFrame:
     return _restored(spark, base).select("src", "rec_id", F.col("restored").alias("text"), F.array_join("chains", " ; ").alias("chains"), "lost")
 
 
+def _measured(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    docs = table(spark, base, "documents").select(F.lit("documents").alias("src"), rec_id("doc_id").alias("rec_id"), "text")
+    excerpts = table(spark, base, "excerpts").select(F.lit("excerpts").alias("src"), F.col("doc_index").alias("rec_id"), F.col("excerpt").alias("text"))
+    return quality.analyse(docs.unionByName(excerpts), ["src", "rec_id"])
+
+
+def p2_found(spark: SparkSession, base: str) -> DataFrame:
+    return _measured(spark, base)[0].where(~F.col("is_prose")).select("src", "rec_id").distinct()
+
+
+def p2_statistics(spark: SparkSession, base: str) -> DataFrame:
+    """The statistics, z-scores and percentiles of every delivered record."""
+    return _measured(spark, base)[0]
+
+
+def p2_distributions(spark: SparkSession, base: str) -> DataFrame:
+    """Quantiles of each statistic by language, from the merged sketches."""
+    rows = [(g["lang"], g["texts"], s, q, float(v)) for g in quality.quantiles(_measured(spark, base)[1]) for s in quality.STATISTICS for q, v in zip(quality.GRID, g[s], strict=True)]
+    return spark.createDataFrame(rows, "lang string, texts bigint, statistic string, quantile double, value double")
+
+
 def p5_found(spark: SparkSession, base: str) -> DataFrame:
     return cutoff.graded_cutoffs(table(spark, base, "graded_rows"), table(spark, base, "keep_targets"))
 
@@ -77,6 +98,9 @@ def p9_segments(spark: SparkSession, base: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_restored": p1_restored,
+    "p2_found": p2_found,
+    "p2_statistics": p2_statistics,
+    "p2_distributions": p2_distributions,
     "p5_found": p5_found,
     "p6_found": p6_found,
     "p7_ids": p7_ids,

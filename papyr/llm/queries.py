@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyr.llm import bpe, cutoff, defects, encoding, language, mixing, quality
+from papyr.llm import bpe, cutoff, defects, encoding, language, mixing, quality, subjects
 from papyr.session import table
 
 
@@ -55,6 +55,24 @@ def p2_distributions(spark: SparkSession, base: str) -> DataFrame:
     return spark.createDataFrame(rows, "lang string, texts bigint, statistic string, quantile double, value double")
 
 
+def _subjects(spark: SparkSession, base: str) -> DataFrame:
+    return subjects.subjects(table(spark, base, "documents"), table(spark, base, "subject_examples"))
+
+
+def p3_found(spark: SparkSession, base: str) -> DataFrame:
+    return _subjects(spark, base).select("doc_id", "subject").distinct()
+
+
+def p3_scores(spark: SparkSession, base: str) -> DataFrame:
+    """Each document's subjects with cosines and parts."""
+    return _subjects(spark, base)
+
+
+def p3_composition(spark: SparkSession, base: str) -> DataFrame:
+    """The share of each subject in the corpus."""
+    return subjects.composition(_subjects(spark, base))
+
+
 def p5_found(spark: SparkSession, base: str) -> DataFrame:
     return cutoff.graded_cutoffs(table(spark, base, "graded_rows"), table(spark, base, "keep_targets"))
 
@@ -101,6 +119,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p2_statistics": p2_statistics,
     "p2_distributions": p2_distributions,
+    "p3_found": p3_found,
+    "p3_scores": p3_scores,
+    "p3_composition": p3_composition,
     "p5_found": p5_found,
     "p6_found": p6_found,
     "p7_ids": p7_ids,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyr.llm import bpe, cutoff, defects, encoding, language, mixing, quality, subjects
+from papyr.llm import bpe, cutoff, defects, encoding, language, mixing, quality, scan, subjects
 from papyr.session import table
 
 
@@ -73,6 +73,25 @@ def p3_composition(spark: SparkSession, base: str) -> DataFrame:
     return subjects.composition(_subjects(spark, base))
 
 
+def _repaired(spark: SparkSession, base: str) -> DataFrame:
+    docs, pairs = table(spark, base, "documents"), table(spark, base, "pairs")
+    texts = docs.select("text").unionByName(pairs.select(F.explode(F.array("q", "a")).alias("text"))).where(F.col("text").isNotNull())
+    words = scan.learn(texts, table(spark, base, "lexicon"))
+    names = docs.select(F.lit("documents").alias("src"), rec_id("doc_id").alias("rec_id"), "text")
+    of_docs = scan.repair_columns(names, ["src", "rec_id"], ["text"], words)
+    of_pairs = scan.repair_columns(pairs.select(F.lit("pairs").alias("src"), rec_id("dataset", "i").alias("rec_id"), "q", "a"), ["src", "rec_id"], ["q", "a"], words)
+    return of_docs.unionByName(of_pairs)
+
+
+def p4_found(spark: SparkSession, base: str) -> DataFrame:
+    return _repaired(spark, base).where(F.col("furniture") + F.col("breaks") + F.col("misread") > 0).select("src", "rec_id").distinct()
+
+
+def p4_repaired(spark: SparkSession, base: str) -> DataFrame:
+    """Every text in continuous paragraphs, with the number of repairs of each kind."""
+    return _repaired(spark, base)
+
+
 def p5_found(spark: SparkSession, base: str) -> DataFrame:
     return cutoff.graded_cutoffs(table(spark, base, "graded_rows"), table(spark, base, "keep_targets"))
 
@@ -122,6 +141,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_found": p3_found,
     "p3_scores": p3_scores,
     "p3_composition": p3_composition,
+    "p4_found": p4_found,
+    "p4_repaired": p4_repaired,
     "p5_found": p5_found,
     "p6_found": p6_found,
     "p7_ids": p7_ids,

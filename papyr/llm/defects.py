@@ -41,9 +41,12 @@ _ANY = re.compile(r"\w")
 
 VOCABULARY = 60_000  # most frequent words whose counts are kept
 _LETTERS = re.compile(r"[^\W\d_]+")
-_FINAL = re.compile(r"([^\W\d_]+)[\"'”’»)\]]*[.!?](?=\s|$)")
-_AFTER_MODAL = re.compile(r"\b(?:may|might|must|shall|will|could never|would soon|did not always|ought to|cannot|can|could|should|would)\s+([^\W\d_]+)")
-_AFTER_HAD = re.compile(r"\b(?:had|have|has) ([^\W\d_]+)")
+_EDGE = ".,;:!?\"'()[]{}«»“”‘’—–-¬…"
+_END = frozenset(".!?")
+_CLOSES = "\"'”’»)]"
+# Words before the base form of a verb, and before a participle.
+_MODAL = frozenset("may might must shall will never soon always cannot can could should would".split())
+_HAD = frozenset("had have has".split())
 
 
 def turns_of_pairs(pairs: DataFrame) -> DataFrame:
@@ -101,14 +104,14 @@ def count_answers(records: DataFrame) -> DataFrame:
             for text in _flat(b)[2]:
                 if not text:
                     continue
-                low = text.lower()
-                words = _LETTERS.findall(low)
+                tokens = text.lower().split()
+                words = [t.strip(_EDGE) for t in tokens]
                 by[guess(set(words))].update(words)
-                final.update(_FINAL.findall(low))
-                base.update(_AFTER_MODAL.findall(low))
-                past.update(_AFTER_HAD.findall(low))
+                final.update([w for w, t in zip(words, tokens, strict=True) if t[-1] in _END or (t[-1] in _CLOSES and t.rstrip(_CLOSES)[-1:] in _END)])
+                base.update([y for x, y in zip(words, words[1:], strict=False) if x in _MODAL])
+                past.update([y for x, y in zip(words, words[1:], strict=False) if x in _HAD])
             every = sum(by.values(), Counter())
-            keys = [w for w in every if len(w) <= 40]
+            keys = [w for w in every if w and len(w) <= 40]
             cols = [[every[w] for w in keys], [final[w] for w in keys], [base[w] for w in keys], [past[w] for w in keys], *[[by[k][w] for w in keys] for k in LANGS]]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *[pa.array(c, pa.int64()) for c in cols]], names=["word", "total", "final", "base", "past", *[f"n_{k}" for k in LANGS]])
 
@@ -162,8 +165,8 @@ def is_empty(answer: str | None) -> bool:
     """Null, blank, or nothing but punctuation, a marker or a placeholder."""
     if answer is None:
         return True
-    if len(answer) > 200:
-        return not _ANY.search(answer)
+    if len(answer) > 60:
+        return not _ANY.search(answer) or (len(answer) < 400 and len(answer.split()) < 5 and is_empty(" ".join(answer.split())[:60]) and len(" ".join(answer.split())) <= 60)
     s = _INVISIBLE.sub("", answer).strip()
     for _ in range(2):
         s = _MARKER.sub("", s).strip()
@@ -220,15 +223,16 @@ _AUX = frozenset("is was are were be been being am has have had do does did may
 _OPENS = frozenset("because although while whereas unless if when whenever until though".split())
 _TAIL = re.compile(r"[\"'”’»)\]*_`]+$")
 _CLAUSE = re.compile(r"(?<=[.!?])[\"'”’»)\]]*\s+")
-_LIST_ITEM = re.compile(r"(?:^|\n)[ \t]*(?:[-*•]|\d+[.)])[ \t]*$")
+_LIST_ITEM = re.compile(r"[ \t]*(?:[-*•]|\d+[.)])[ \t]*")
+_UNSEEN = "\u200b\u200c\u200d\u2060\ufeff\u00ad\u00a0"
 
 
 def is_truncated(answer: str, c: Counts) -> bool:
     """Whether an answer breaks off before its sentence is complete. Lacking only the final stop is not enough."""
-    text = _INVISIBLE.sub("", answer).rstrip()
+    text = answer.rstrip().rstrip(_UNSEEN).rstrip()
     if not text:
         return False
-    if _LIST_ITEM.search(text):
+    if _LIST_ITEM.fullmatch(text[text.rfind("\n") + 1 :]) and "\n" in text:
         return True
     bare = _TAIL.sub("", text).rstrip()
     last = bare[-1:] or text[-1:]
@@ -340,7 +344,8 @@ def _compile_rules() -> re.Pattern:
 
 
 _REFUSES = _compile_rules()
-_TRIGGER = re.compile(r"answer|repl|respon|excuse|declin|refus|unable|not able|liberty|speak|talk|help|assist|request|question|inquiry|information|opinion|permis|répon|parl|aider|antwort|sprech|helfen|äußern|auskunft|contest|hablar|ayud|rispo|aiut|language model|comment")
+# Stems of which a clause that declines has one.
+_STEMS = ("answer", "repl", "respon", "excus", "declin", "refus", "unable", "able to", "liberty", "speak", "talk", "help", "assist", "request", "question", "inquiry", "information", "opinion", "permis", "répon", "parle", "aide", "antwort", "sprech", "helf", "äußer", "auskunft", "contest", "habla", "ayud", "rispo", "aiut", "language model", "comment", "discut", "reden", "geben", "schweig", "oblige", "advi", "tell", "share")
 _SENTENCE = re.compile(r"[^.!?;]+[.!?;]*")
 _PLAIN = re.compile(r"[^\w'’ ]+")
 MOST_LEFT = 12  # words of a refusal beside the clauses that refuse
@@ -350,7 +355,7 @@ _CONTINUES = re.compile(r",? (?:but|yet|for|because|though|although|however|that
 def is_refusal(answer: str, question: str | None = None) -> bool:
     """Whether an answer declines to answer. Clauses that decline something else, or go on to answer, don't count."""
     low = answer.lower()
-    if not _TRIGGER.search(low):
+    if not any(x in low for x in _STEMS):
         return False
     if question:
         q = question.strip().lower().rstrip("?.! ")
@@ -361,13 +366,15 @@ def is_refusal(answer: str, question: str | None = None) -> bool:
         s = " ".join(_PLAIN.sub(" ", m[0]).split())
         if not s:
             continue
-        r = _REFUSES.search(s)
+        r = _REFUSES.search(s) if any(x in s for x in _STEMS) else None
         rest = m[0][m[0].find(",") :] if "," in m[0] else ""
         if r and not (_CONTINUES.match(rest) and r.end() <= len(s) - 12 and len(rest.split()) > 4 and not _REFUSES.search(" ".join(_PLAIN.sub(" ", rest).split()))):
             hit = True
         else:
-            left += len(s.split())
-    return hit and left <= MOST_LEFT
+            left += s.count(" ") + 1
+            if left > MOST_LEFT:
+                return False
+    return hit
 
 
 # ---- copy -------------------------------------------------------------------------------------
@@ -407,6 +414,9 @@ def is_copy(question: str, answer: str) -> bool:
     """Whether an answer gives its question back, perhaps twice or in a frame, and adds nothing."""
     if len(answer) > 2.4 * len(question) + 60:
         return False
+    x, y = (set(t.lower().split()) for t in (question, answer))
+    if len(x & y) * 3 < len(y):
+        return False
     q, a = (re.sub(r"[^\w ]+", " ", x.lower().replace("ſ", "s")).split() for x in (question, answer))
     if len(q) < 3 or len(a) < min(3, len(q)):
         return False
@@ -430,6 +440,7 @@ def is_copy(question: str, answer: str) -> bool:
 # ---- language ---------------------------------------------------------------------------------
 
 _LATIN = re.compile(r"[A-Za-zÀ-ɏ]")
+_PLAIN_ENGLISH = frozenset("the of and is had with which that this from were been".split())
 MARGIN = 3.0  # nats by which each side must speak for its language
 
 
@@ -445,21 +456,24 @@ def scores(text: str, c: Counts) -> tuple[np.ndarray, int]:
     return total, n
 
 
+_NOT_LATIN = re.compile(r"[^\W\d_A-Za-zÀ-ɏ]")
+
+
 def script(text: str) -> str | None:
-    """The script of most letters, if not Latin."""
-    n: Counter = Counter()
-    for ch in text:
-        if ch.isalpha():
-            n["LATIN" if _LATIN.match(ch) else unicodedata.name(ch, "?").split()[0]] += 1
-    if not n:
-        return None
-    return n.most_common(1)[0][0]
+    """The script of most letters; null without letters."""
+    others = _NOT_LATIN.findall(text)
+    if len(others) * 2 <= len(_LETTERS.findall(text)) and text:
+        return "LATIN" if _LATIN.search(text) else None
+    n: Counter = Counter(unicodedata.name(c, "?").split()[0] for c in others)
+    n["LATIN"] = len(_LATIN.findall(text))
+    return n.most_common(1)[0][0] if sum(n.values()) else None
 
 
 def is_other_language(question: str, answer: str, c: Counts) -> bool:
     """Whether most of an answer is in another language than its question; short and doubtful texts are not."""
-    if " the " in question and " the " in answer and answer.count(" the ") * 40 > len(answer):
-        return False
+    x, y = (set(t.lower().split()) for t in (question, answer))
+    if x & _PLAIN_ENGLISH and len(y & _PLAIN_ENGLISH) * 8 >= len(y):
+        return False  # both speak English plainly
     if not question.isascii() or not answer.isascii():
         x, y = script(question), script(answer)
         if x and y and x != y and len(_LETTERS.findall(answer)) >= 2:

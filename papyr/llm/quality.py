@@ -29,14 +29,22 @@ NOUN_PHRASE = frozenset("of the and a an or de la le les des du et un une d l de
 
 STATISTICS = ("word_count", "characters", "mean_word_length", "symbol_ratio", "digit_ratio", "line_end_share", "common_share", "link_share", "link_kinds", "known_share", "unit_words", "sentence_words")
 
-_WORDS = re.compile(r"(?<![\d_])[^\W\d_]{2,}(?![\d_])")
-_TOKENS = re.compile(r"\S+")
-_SYMBOL = re.compile(r"[^\w\s]")
-_DIGIT = re.compile(r"\d")
-_LINE_END = re.compile(r"[.!?…][\"'”’»)\]]*\s*$", re.M)
-# ends of units: sentences, columns, items, lines that no sentence continues
-_UNIT = re.compile(r"[.!?…]+[\"'”’»)\]]*(?:\s+|$)|\s*[;|\t│·•/]\s*|\.{3,}|\s{3,}|\n\s*\n|\n(?=[^a-zà-ÿ])|(?<=[a-z]) {2,}|\s[—–]\s(?=\d|—)|,(?!\d)\s*|\s*[:=]\s+")
-_SENTENCE = re.compile(r"[.!?…]+[\"'”’»)\]]*(?:\s+|$)|\n\s*\n")
+_WORDS = re.compile(r"[^\W\d_]{2,}")
+_LINE = re.compile(r"\n(?![a-zà-ÿ])")
+_FIGURES = re.compile(r"[\d£]+")
+# ends of units: of sentences and their parts, columns, items; figures are no words
+_UNIT = re.compile(r"[.!?…;:,|│·•/=—–\t\x1f*+()\[\]{}<>]+(?:\s*-\s)?|  +")
+_SENTENCE = re.compile(r"[.!?…]+|\n\n")
+
+
+def _counts(pieces: list[str]) -> list[int]:
+    """The words of each piece that has any: blanks between them, and one."""
+    return [x.count(" ") + x.count("\n") + 1 for x in map(str.strip, pieces) if x]
+
+
+def units(text: str) -> list[int]:
+    """The words in each unit: a stretch without stop, column or item sign; a line is a unit unless the next one begins in lower case."""
+    return _counts(_UNIT.split(_FIGURES.sub("", _LINE.sub("\x1f", text))))
 
 
 @dataclass(frozen=True)
@@ -50,30 +58,31 @@ def statistics(text: str, v: Vocabulary) -> tuple[str, list[float]]:
     """(language or ``other``, values of STATISTICS) of a text that isn't blank."""
     low = text.lower()
     words = _WORDS.findall(low)
-    tokens = len(_TOKENS.findall(text))
-    dense = sum(map(len, text.split()))
+    every = text.split()
+    tokens, dense = len(every), sum(map(len, every))
     n = len(words)
     kinds = set(words)
     lines = [x for x in text.split("\n") if x.strip()]
-    units = [u for u in map(len, map(_WORDS.findall, _UNIT.split(text))) if u]
-    sentences = [u for u in map(len, map(_WORDS.findall, _SENTENCE.split(text))) if u]
+    pieces = units(text)
+    sentences = _counts(_SENTENCE.split(text))
     links = v.links & kinds
     n_links = sum(map(links.__contains__, words)) if links else 0
+    letters, digits = sum(map(len, words)), sum(map(text.count, "0123456789"))
     share = lambda x, y: x / y if y else 0.0
     values = [
         float(tokens),
         float(dense),
-        share(sum(map(len, words)), n),
-        share(len(_SYMBOL.findall(text)), dense),
-        share(len(_DIGIT.findall(text)), dense),
-        share(len(_LINE_END.findall(text)), len(lines)),
+        share(letters, n),
+        share(dense - letters - digits, dense),
+        share(digits, dense),
+        share(sum(x.rstrip(" \t\r\"'”’»)]")[-1:] in ".!?…" for x in lines), len(lines)),
         share(sum(map(v.common.__contains__, words)), max(tokens, n)),
         share(n_links, n),
         share(len(links), max(n, 12) ** 0.5),
         share(sum(map(v.known.__contains__, words)), max(tokens, n)),
         # words in units, each unit weighed by its words, so that a few short ones don't matter
-        share(sum(u * u for u in units), n),
-        share(sum(u * u for u in sentences), n),
+        share(sum(u * u for u in pieces), sum(pieces)),
+        share(sum(u * u for u in sentences), sum(sentences)),
     ]
     return guess(kinds) or "other", values
 
@@ -83,19 +92,19 @@ def count_words(texts: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            df: Counter = Counter()
+            df: dict[str, Counter] = {}
             tf: Counter = Counter()
             for t in b.column(0).to_pylist():
                 if t:
                     words = _WORDS.findall(t.lower())
                     kinds = set(words)
                     k = guess(kinds) or "other"
-                    df.update((w, k) for w in kinds if len(w) <= 40)
+                    df.setdefault(k, Counter()).update(kinds)
                     tf.update(words)
-            keys = list(df)
+            keys = [(w, k) for k, own in df.items() for w in own if len(w) <= 40]
             seen: set[str] = set()
             first = [tf[w] if not (w in seen or seen.add(w)) else 0 for w, _ in keys]
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([df[k] for k in keys], pa.int64()), pa.array(first, pa.int64())], names=["word", "lang", "texts", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([df[k][w] for w, k in keys], pa.int64()), pa.array(first, pa.int64())], names=["word", "lang", "texts", "n"])
 
     return texts.select("text").mapInArrow(run, "word string, lang string, texts bigint, n bigint").groupBy("word", "lang").agg(F.sum("texts").alias("texts"), F.sum("n").alias("n"))
 
@@ -148,7 +157,7 @@ MIN_TEXTS = 50  # of a language for it to have distributions of its own; else th
 # The statistics whose lower tails tell text that is no prose, with the least sigma where texts are very alike.
 TAILS = {"unit_words": 1.8, "link_kinds": 0.5, "link_share": 0.06, "known_share": 0.09, "common_share": 0.1}
 SHORT = 12.0  # words at which a value is taken for twice as uncertain
-FRAGMENTED = -1.95  # z of unit_words from which a text is a list or table: nothing but short units
+FRAGMENTED = -1.9  # z of unit_words from which a text is a list or table: nothing but short units
 UNKNOWN, UNLINKED = -4.0, -3.0  # z of known_share and link_share from which it is junk: no words of a language
 
 

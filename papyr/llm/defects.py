@@ -379,7 +379,7 @@ def is_refusal(answer: str, question: str | None = None) -> bool:
 
 # ---- copy -------------------------------------------------------------------------------------
 
-MIN_TILE = 3  # words
+MIN_TILE = 2  # words
 # Words by which a copy is introduced.
 _FRAME = frozenset("you ask asked asks the question is was a an answer ans q to that says repeat repeated question. vous demandez la frage lautet sie fragen usted pregunta domanda chiede réponse antwort respuesta risposta".split())
 

@@ -1,0 +1,367 @@
+"""The operators against brute force, exact round trips, and texts whose defects are put there by the test."""
+
+from __future__ import annotations
+
+import os
+import random
+from collections import Counter
+from pathlib import Path
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from papyr.llm import bpe, cutoff, defects, encoding, language, mixing, quality, queries, scan, subjects
+
+DATA = Path(os.environ.get("TEST_DATA", "/root/testdata"))
+
+
+# ---- encoding of the corpus ------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def reference():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    return t
+
+
+ALPHABET = " \n\t'’sStTreveLlmd  aé1٣½漢.!?　 🙂\x1c\x85_<|endoftext|>"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=ALPHABET, max_size=40), max_size=6))
+def test_encoder_matches_library(texts):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    e = bpe.encoder(bpe.vocabulary_path())
+    ids = e.encode(texts)
+    assert ids == [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
+    assert [e.decode(x) for x in ids] == texts
+
+
+def test_encoder_long_runs(reference):
+    e = bpe.encoder(bpe.vocabulary_path())
+    texts = ["a" * 20_000, "ab" * 3000 + "'s" * 500, " " * 5000 + "x", "=" * 4097]
+    assert e.encode(texts) == [x.ids for x in reference.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_offsets_point_at_characters():
+    e = bpe.encoder(bpe.vocabulary_path())
+    text = "It's a café, 漢字 🙂."
+    at = e.offsets([text])[0]
+    ids = e.encode([text])[0]
+    assert len(at) == len(ids) and at[0] == 0 and at == sorted(at) and max(at) < len(text)
+
+
+def test_scan_equals_sequential_reading():
+    rng = np.random.default_rng(0)
+    step, begins = bpe.automaton()
+    kinds = rng.integers(0, 9, 5000).astype(np.uint8)
+    state, want = bpe.S_START, []
+    for i, k in enumerate(kinds):
+        if begins[k, state]:
+            want.append(i)
+        state = step[k, state]
+    assert bpe.boundaries(kinds, 64).tolist() == want
+
+
+def test_columns(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, " \n"), (4, "Hello's")], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["ids"] for r in bpe.encode_column(df, "doc_id", "text").collect()}
+    assert got[1] == [] and got[2] == [] and len(got[3]) > 0
+    back = bpe.decode_column(bpe.encode_column(df, "doc_id", "text"), "doc_id").collect()
+    assert {r["doc_id"]: r["text"] for r in back} == {1: "", 2: "", 3: " \n", 4: "Hello's"}
+    off = bpe.encode_column(df, "doc_id", "text", offsets=True).where("doc_id = 4").collect()[0]
+    assert len(off["offsets"]) == len(off["ids"])
+
+
+# ---- cutoffs -----------------------------------------------------------------------------------------
+
+
+def test_cutoffs_against_brute_force(spark):
+    rng = random.Random(5)
+    data = [(f"c{rng.randint(0, 5)}", float(rng.choice([rng.randint(0, 100), 50, 50, 70]))) for _ in range(3000)] + [("c0", None), (None, 3.0), ("c1", float("nan"))]
+    targets = [("c0", 80), ("c1", 1), ("c2", 100), ("c3", 33), ("c4", 0), ("none", 50), ("c5", 250)]
+    got = {r["source"]: (r["cutoff"], r["kept"]) for r in cutoff.keep_fraction(spark.createDataFrame(data, "category string, score double"), spark.createDataFrame(targets, "category string, target_pct int")).collect()}
+    for c, pct in targets:
+        scores = sorted(s for k, s in data if k == c and s is not None and s == s)
+        if not scores:
+            assert c not in got
+            continue
+        if pct <= 0:
+            assert got[c] == (int(max(scores)) + 1, 0)
+            continue
+        want = max(x for x in range(-1, 102) if sum(s >= x for s in scores) * 100 >= min(pct, 100) * len(scores))
+        assert got[c] == (want, sum(s >= want for s in scores)), c
+
+
+def test_cutoffs_of_fractional_scores(spark):
+    rng = random.Random(1)
+    scores = [rng.random() * 10 for _ in range(500)]
+    t = cutoff.order_statistics(cutoff.score_counts(spark.createDataFrame([("a", s) for s in scores], "category string, score double"), "category", "score"), {"a": 0.37})
+    want = sorted(scores, reverse=True)[185 - 1]
+    assert t["a"][0] == want and t["a"][1] == 185
+
+
+def test_latest_delivery_counts(spark):
+    import datetime as dt
+
+    at = dt.datetime(2024, 1, 1)
+    rows = [(1, "Knowledge", 10, at), (1, " KNOWLEDGE", 90, at + dt.timedelta(1)), (2, "how-to", 5, at), (2, "how_to", 5, at), (3, None, 7, at), (4, "how_to", 101, at)]
+    g = spark.createDataFrame(rows, "row_id bigint, category string, score int, ingested_at timestamp")
+    t = spark.createDataFrame([("knowledge", 50), ("how_to", 100)], "category string, target_pct int")
+    assert sorted(map(tuple, cutoff.graded_cutoffs(g, t).collect())) == [("how_to", 5, 1), ("knowledge", 90, 1)]
+
+
+# ---- mixing ------------------------------------------------------------------------------------------
+
+
+def test_water_filling():
+    s = [mixing.Share("a", 0.5, 10, 2), mixing.Share("b", 0.3, 1000, 1), mixing.Share("c", 0.2, 1000, 1), mixing.Share("d", 0.0, 5, 1)]
+    got = {x.source: x.allotted for x in mixing.water_fill(s, 500)}
+    assert got["a"] == 20 and got["d"] == 0 and abs(got["b"] - 288) < 1e-6 and abs(got["c"] - 192) < 1e-6
+    assert {x.source: x.allotted for x in mixing.water_fill(s, 1e9)} == {"a": 20, "b": 1000, "c": 1000, "d": 0}
+
+
+def test_mixture(spark):
+    rng = random.Random(2)
+    rows = [(i, rng.choice("aabbbbbbc"), rng.randint(1, 60)) for i in range(4000)] + [(9001, None, 5), (9002, "a", 0), (9003, "z", 9)]
+    sizes = spark.createDataFrame(rows, "doc_id bigint, source string, n_tokens bigint")
+    targets = spark.createDataFrame([("a", 60, 3), ("b", 30, 1), ("c", 5, 1), ("gone", 5, 2)], "source string, target_pct int, max_repeats int")
+    mixture, report = mixing.mix(sizes, targets)
+    uses = Counter(r["doc_id"] for r in mixture.collect())
+    cap = {"a": 3, "b": 1, "c": 1}
+    by = {i: (s, n) for i, s, n in rows}
+    assert all(n <= cap[by[i][0]] for i, n in uses.items()) and not {9001, 9002, 9003} & set(uses)
+    got = {r["source"]: r for r in report.collect()}
+    assert set(got) == {"a", "b", "c", "gone"} and got["gone"]["actual_tokens"] == 0
+    for s in "abc":
+        actual = sum(by[i][1] * n for i, n in uses.items() if by[i][0] == s)
+        assert actual == got[s]["actual_tokens"] and abs(actual - got[s]["allotted_tokens"]) <= 60
+    assert abs(sum(r["actual_pct"] for r in got.values()) - 100) < 0.01
+    again, _ = mixing.mix(sizes.repartition(7), targets)
+    assert Counter(r["doc_id"] for r in again.collect()) == uses
+
+
+# ---- wrong encodings -----------------------------------------------------------------------------------
+
+WORDS = "the café at noon kept its façade ; the señora and the Fräulein read “mañana” there — a naïve élite , the crêpe and the rosé".split()
+
+
+def _corpus() -> list[tuple[str, str, str, str, int]]:
+    out = Counter()
+    for _, _, x, w, y in encoding.fragments(" ".join(WORDS)):
+        out[("en", x, w, y)] += 50
+    return [(*k, n) for k, n in out.items()]
+
+
+@pytest.mark.parametrize("misread,written", [("cp1252", "utf-8"), ("latin-1", "utf-8"), ("mac_roman", "utf-8"), ("cp437", "utf-8"), ("cp1251", "utf-8"), ("mac_roman", "cp1252"), ("cp1251", "cp1252")])
+def test_restores_what_was_misread(misread, written):
+    r = encoding.Repairer(encoding.build_dictionaries(_corpus()))
+    text = "the café kept its façade and the naïve élite"
+    raw = text.encode(written)
+    table = encoding._FROM_BYTES[misread]
+    broken = "".join(chr(b) if b < 128 else table.get(b, chr(b)) for b in raw)
+    assert broken != text
+    new, chains, lost = r.repair(broken)
+    assert new == text and chains and lost == 0
+
+
+def test_twice_misread_and_partly():
+    r = encoding.Repairer(encoding.build_dictionaries(_corpus()))
+    twice = "the café".encode().decode("cp1252").encode().decode("cp1252")
+    assert r.repair(twice)[0] == "the café"
+    assert r.repair("the cafÃ© kept its façade")[0] == "the café kept its façade"
+
+
+@pytest.mark.parametrize("text", ["the sign Ã was used in São Brás", "ÂME ET CHÂTEAU", "√92, which", "«bonjour»", "ποταμός", "café", "漢字 שלום 🙂", "2½-acre ¶ 50 § 7", "Answеr", "﻿The", "plain", ""])
+def test_correct_text_stays(text):
+    r = encoding.Repairer(encoding.build_dictionaries(_corpus()))
+    assert r.repair(text) == (text, [], 0)
+
+
+def test_lost_characters_are_damage():
+    r = encoding.Repairer(encoding.build_dictionaries(_corpus()))
+    assert r.repair("the caf� at")[0] == "the café at"
+    assert r.repair("zz�q")[2] == 1
+    assert r.repair(None) == (None, [], 0)
+
+
+# ---- statistics ---------------------------------------------------------------------------------------------
+
+
+def test_lists_tables_and_junk_lie_in_the_tails(spark):
+    prose = [f"The {a} had been asked to govern the {b}, and the news of it spread quickly. It was not known before that the {b} could ever be so {c}." for a in ("captain", "farmer", "clerk", "widow", "printer") for b in ("harbour", "orchard", "ledger", "garden") for c in ("quiet", "ancient", "simple", "proper", "famous")]
+    no = ["apple\nPear\nPlum of the tree\nFig\nQuince\nMedlar", "Item | 1st | 2nd\nRope | 12.50 | 7\nSail | 3.10 | 9\nMast | 1 | 2", "xq7 zv9k 83h2 kk1 pq0 zzt7 91k qv8", "{}[]<>|&%$#@!*+=" * 6]
+    caps = "THE CAPTAIN HAD BEEN ASKED TO GOVERN THE HARBOUR,\nAND THE NEWS OF IT SPREAD QUICKLY TO THE FARMER."
+    rows = [(f"p{i}", t) for i, t in enumerate(prose)] + [(f"n{i}", t) for i, t in enumerate(no)] + [("caps", caps), ("null", None), ("blank", " \n ")]
+    df = spark.createDataFrame(rows, "rec_id string, text string")
+    scored, sketched = quality.analyse(df, ["rec_id"])
+    got = {r["rec_id"]: r["is_prose"] for r in scored.collect()}
+    assert [k for k, v in got.items() if v is False] and {k for k, v in got.items() if v is False} == {f"n{i}" for i in range(len(no))}
+    assert got["caps"] is True and got["null"] is None and got["blank"] is None
+    exact = np.median([quality.units(t) and sum(u * u for u in quality.units(t)) / sum(quality.units(t)) for t in prose])
+    q = next(g for g in quality.quantiles(sketched) if g["lang"] == "en")
+    assert abs(q["unit_words"][9] - exact) < 0.5
+
+
+# ---- subjects --------------------------------------------------------------------------------------------------
+
+
+def test_singular_vectors(spark):
+    rng = np.random.default_rng(0)
+    a = np.where(rng.random((300, 40)) < 0.2, rng.random((300, 40)), 0).astype(np.float32)
+    rows = [(i, [int(j) for j in np.flatnonzero(r)], [float(x) for x in r[np.flatnonzero(r)]]) for i, r in enumerate(a)]
+    sparse = spark.createDataFrame(rows, "doc_id bigint, terms array<int>, weights array<float>")
+    v = subjects.singular_vectors(sparse, 40, rank=5, passes=12)
+    want = np.linalg.svd(a, full_matrices=False)[2][:5]
+    assert np.allclose(np.abs(np.sum(v.T * want, axis=1)), 1, atol=1e-2)
+
+
+def test_subjects_agree_with_sound_labels(spark):
+    base = f"{DATA}/sf0.01"
+    got = queries.p3_found(spark, base).toPandas()
+    meta = spark.read.parquet(f"{base}/doc_meta.parquet").toPandas().drop_duplicates("doc")
+    label = meta.set_index("doc").topic_or_subject_gen.fillna("").str.strip().str.upper()
+    names = set(got.subject)
+    own: dict[int, set[str]] = {}
+    for d, s in zip(got.doc_id, got.subject, strict=True):
+        own.setdefault(d, set()).add(s)
+    hits = [label[d] in s for d, s in own.items() if d in label.index and label[d] in names]
+    # the labels are wrong for one document in six or so
+    assert len(names) == 12 and np.mean(hits) > 0.75
+    assert got.groupby("doc_id").size().max() <= 2
+
+
+# ---- languages --------------------------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return language.learn(spark.read.parquet(f"{DATA}/sf0.1/documents.parquet"))
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("The captain had been asked to govern the harbour. The clerk wrote of it.", {"en"}),
+        ("Le juge soutient la loi pendant plusieurs années. La loi dépasse le juge, comme chacun le sait.", {"fr"}),
+        ("The captain had governed the harbour. Der Richter begleitet das Gesetz, wie ein jeder weiß.", {"en", "de"}),
+        ("The señora and the Fräulein both agreed that the word “mañana” was often heard there.", {"en"}),
+        ("El juez regula la ley, como todos lo saben.", {"es"}),
+        ("Il giudice regola la legge per parecchi anni, come tutti sanno.", {"it"}),
+        ("jqdtwxhr knfhl xxwqtspxw lpmbxwx tkcx dghmqflzp wbrbtxv gvsgjqbv", set()),
+        ("12 83 77 [] {}", set()),
+    ],
+)
+def test_languages_of_texts(model, text, want):
+    assert set(language._analyse([text], model)[0][0]) == want
+
+
+def test_labels():
+    assert [language.label_language(x) for x in ("en_US", "FR", "German", "spa", " it ", "mul", "und", "", None, "xx", "en-GB-oed")] == ["en", "fr", "de", "es", "it", None, None, None, None, None, "en"]
+
+
+def test_forward_backward_against_enumeration():
+    import itertools
+
+    rng = np.random.default_rng(0)
+    e, t, s = rng.random((1, 4, 3)), rng.random((3, 3)), rng.random(3)
+    got = language.forward_backward(e, np.array([4]), t, s)[0]
+    want = np.zeros((4, 3))
+    for path in itertools.product(range(3), repeat=4):
+        w = np.exp(s[path[0]] + sum(e[0, i, y] for i, y in enumerate(path)) + sum(t[a, b] for a, b in zip(path, path[1:], strict=False)))
+        for i, y in enumerate(path):
+            want[i, y] += w
+    assert np.allclose(got, want / want.sum(axis=1, keepdims=True))
+
+
+# ---- defects ------------------------------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def counts(spark):
+    base = f"{DATA}/sf0.1"
+    return defects.learn(defects.turns_of_pairs(spark.read.parquet(f"{base}/pairs.parquet")))
+
+
+@pytest.mark.parametrize(
+    "q,a,want",
+    [
+        ("What is it?", None, ["empty"]), ("What is it?", " ​ ", ["empty"]), ("What?", "Ans.", ["empty"]), ("What?", "(no answer)", ["empty"]), ("What?", "N/A", ["empty"]), ("What?", "None whatever.", []), ("What?", "No.", []), (None, "", ["empty"]),
+        ("Who governed it?", "The captain had governed the", ["truncated"]), ("Who governed it?", "The captain had gov", ["truncated"]), ("Who?", "The captain governed the harbour", []), ("Who?", "The pulley of the", ["truncated"]), ("Who?", "Harbour", []), ("Who?", "The governor altered the harbour, and…", ["truncated"]), ("Who?", "There were three: the mast, the keel, etc.", []),
+        ("Who?", "I must decline to answer.", ["refusal"]), ("Who?", "I must decline the common opinion, for the pupil may govern the lesson.", []), ("Who?", "The clerk refused to answer, because the harbour had been altered.", []), ("Who?", "I cannot help thinking that the harbour was altered.", []), ("Qui ?", "Veuillez m'excuser, je ne répondrai pas.", ["refusal"]), ("Who?", "Why it is so has never been found out.", []),
+        ("Why did the captain govern the harbour?", "You ask: why did the captain govern the harbour.", ["copy"]), ("Why did the captain govern the harbour?", "Why did the captain govern the harbour? Because the clerk had altered the garden.", []), ("Why did the captain govern the harbour?", "WHY DID YE CAPTAIN GOVERN THE HARBOUR", ["copy"]),
+        ("What is the harbour of Quenby?", "Le juge soutient la loi pendant plusieurs années, comme chacun le sait.", ["language"]), ("Quel est le juge ?", "Le juge soutient la loi pendant plusieurs années.", []), (None, "Le juge soutient la loi pendant plusieurs années.", []),
+    ],
+)
+def test_defects(counts, q, a, want):
+    assert defects.defects(q, a, counts) == want
+
+
+def test_turns():
+    t = lambda r, c: {"role": r, "content": c}
+    got = list(defects.exchanges([t("system", "s"), t("user", "a"), t("assistant", "b"), t("user", "c"), t("user", "d"), t("assistant", "e"), t("assistant", "f"), t("user", "g")]))
+    assert got == [("a", "b", True), ("c", None, False), ("d", "e", True), (None, "f", True), ("g", None, False)]
+    assert list(defects.exchanges(None)) == []
+
+
+def test_tiling_against_brute_force():
+    assert defects.tiles("a b c x d e f".split(), "d e f a b c".split(), 3) == [(0, 3, 3), (4, 0, 3)]
+    assert defects.open_structure("a (b [c") == ["(", "["] and defects.open_structure("```x (\n```") == [] and defects.open_structure("“a” «b") == ["«"]
+
+
+# ---- scanned pages ----------------------------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def reader(spark):
+    from pyspark.sql import functions as F
+
+    base = f"{DATA}/sf0.1"
+    texts = spark.read.parquet(f"{base}/documents.parquet").select("text").unionByName(spark.read.parquet(f"{base}/pairs.parquet").select(F.explode(F.array("q", "a")).alias("text"))).where("text is not null")
+    return scan.Reader(scan.learn(texts, spark.read.parquet(f"{base}/lexicon.parquet")))
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("The fchool of Quenby had been altered by the ftatue and the paffion of it.", "The school of Quenby had been altered by the statue and the passion of it."),
+        ("The harbour was al-\ntered by the captain, and the news of it spread quickly.", "The harbour was altered by the captain, and the news of it spread quickly."),
+        ("The harbour was alt- A TREATISE ON THE MAST. 106 ered by the captain, and the news of it spread.", "The harbour was altered by the captain, and the news of it spread."),
+        ("It was altered by the\n\n— 350 —\n\ncaptain of the harbour, and the news of it spread.", "It was altered by the captain of the harbour, and the news of it spread."),
+        ("Whаt do you understand by tbe quеstion of the harbour and the captain?", "What do you understand by the question of the harbour and the captain?"),
+        ("The execut0r had been gi1ded by the w!dow of the harbour.", "The executor had been gilded by the widow of the harbour."),
+        ("It had been maintai¬ ned by the captain of the harbour.", "It had been maintained by the captain of the harbour."),
+    ],
+)
+def test_repairs(reader, text, want):
+    f = scan.repair(text, reader)
+    assert f.any and f.text == want
+
+
+@pytest.mark.parametrize("text", ["The wind- and water-mills were shut that day, with two- or three-fold advantage.", "In the year 1857 the inscription read ÂME ET CHÂTEAU in capitals, and no more.", "THE HARBOUR\n\nThe captain had governed it for many years, and the news of it spread.", "It was known before\n1857. The captain had governed the harbour.", "Rope-\nSail\nMast", None, "", "The price was £3 1s. 4d. and no less, for the captain."])
+def test_sound_text_stays(reader, text):
+    f = scan.repair(text, reader)
+    assert not f.any and f.text == text
+
+
+def test_skip_gram_finds_company():
+    rng = np.random.default_rng(0)
+    words, contexts = 6, 6
+    x = np.zeros((words, contexts))
+    x[:3, :3], x[3:, 3:] = 50, 50
+    at = np.flatnonzero(x.reshape(-1))
+    w, _ = scan.skip_gram(at, x.reshape(-1)[at], words, contexts, steps=60)
+    v = w / np.linalg.norm(w, axis=1, keepdims=True)
+    s = v @ v.T
+    assert s[:3, :3].mean() > s[:3, 3:].mean() + 0.5
+    assert rng is not None

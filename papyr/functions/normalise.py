@@ -177,8 +177,7 @@ def verse_spans(spans: Column, excerpt: Column, most: int = 2) -> Column:
     def one(s: Column) -> Column:
         words = F.filter(F.split(s, r"(?U)\s+"), lambda w: w != "")
         pattern = F.array_join(F.transform(words, lambda w: F.concat(F.lit("\\Q"), F.replace(w, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))), "\\s+")
-        hit = F.regexp_extract(excerpt, pattern, 0)
-        return F.when((F.size(words) > 0) & (hit != ""), hit)
+        return F.when(F.size(words) > 0, F.regexp_substr(excerpt, pattern))
 
     found = F.transform(spans, one)
     ok = (F.size(spans) > 0) & (F.size(spans) <= most) & ~F.exists(found, lambda x: x.isNull())

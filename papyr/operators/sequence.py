@@ -115,7 +115,8 @@ def greedy_batches(items: DataFrame, size: str, budget: int, group: str, order:
         )
 
     numbered = packed.select(group, F.explode(F.arrays_zip(F.transform("_i", lambda x: x["o"]).alias("o"), F.aggregate("_i", start, step, lambda acc: acc["out"]).alias("batch"))).alias("z"))
-    return items.join(numbered.select(F.col(group).alias("_g"), F.col("z.o").alias("_o"), F.col("z.batch").alias("batch")), (F.col(group) == F.col("_g")) & (F.col(order) == F.col("_o"))).drop("_g", "_o")
+    own = numbered.select(F.col(group).alias("_batch_group"), F.col("z.o").alias("_batch_order"), F.col("z.batch").alias("batch"))
+    return items.join(own, (F.col(group) == F.col("_batch_group")) & (F.col(order) == F.col("_batch_order"))).drop("_batch_group", "_batch_order")
 
 
 def primary_class(classes: Column, order: list[str]) -> Column:

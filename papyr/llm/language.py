@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from papyr.session import materialise
+
 LANGUAGES = ("en", "fr", "de", "es", "it")
 # Codes and English names by which a label may name a language.
 NAMES = {
@@ -59,6 +61,8 @@ def count_words(documents: DataFrame, prior: dict[str, np.ndarray] | None = None
 
     def run(batches):
         feats = shipped.value if shipped is not None else None
+        index = {w: i for i, w in enumerate(feats or ())}
+        table = np.array(list(feats.values()), np.float32)[:, :-1] if feats else np.zeros((0, len(LANGUAGES)), np.float32)
         for b in batches:
             n: Counter = Counter()
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -69,7 +73,7 @@ def count_words(documents: DataFrame, prior: dict[str, np.ndarray] | None = None
                     n.update((w, k) for w in set(_WORD.findall(text.lower())) if 1 < len(w) <= 40)
                     continue
                 units = sentences(text)
-                for u, k in zip(units, vote(units, feats), strict=True):
+                for u, k in zip(units, vote(units, index, table), strict=True):
                     for w in u:
                         if len(w) <= 40:
                             n[w, LANGUAGES[k]] += 1
@@ -79,12 +83,13 @@ def count_words(documents: DataFrame, prior: dict[str, np.ndarray] | None = None
     return documents.select("lang", "text").mapInArrow(run, "word string, lang string, n bigint").groupBy("word", "lang").agg(F.sum("n").alias("n"))
 
 
-def vote(units: list[list[str]], feats: dict[str, np.ndarray]) -> list[int]:
-    """The language of each sentence by its words, each once, and less so by the document's."""
-    zero = np.zeros(len(LANGUAGES) + 1)
-    own = np.array([sum((feats[w] for w in set(u) if w in feats), zero) for u in units]).reshape(-1, len(zero))[:, :-1]
-    whole = sum((feats[w] for w in {w for u in units for w in u} if w in feats), zero)[:-1]
-    return (own + 0.3 * whole).argmax(axis=1).tolist() if units else []
+def vote(units: list[list[str]], index: dict[str, int], table: np.ndarray) -> list[int]:
+    """The language of each sentence by its words, each once, and less so by the document's. ``table`` has the features of the words of ``index``."""
+    if not units:
+        return []
+    own = [[index[w] for w in set(u) if w in index] for u in units]
+    whole = table[list({i for u in own for i in u})].sum(axis=0)
+    return (np.array([table[u].sum(axis=0) for u in own]) + 0.3 * whole).argmax(axis=1).tolist()
 
 
 def lexicon(counts: DataFrame, size: int = LEXICON_WORDS) -> tuple[dict[str, np.ndarray], np.ndarray, int]:
@@ -129,26 +134,37 @@ class Model:
     known: frozenset[str]
 
     def __post_init__(self):
-        self._cache: dict[str, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self._ids: dict[str, int] = {}
+        self._rows = np.zeros((1024, len(LANGUAGES)), np.float32)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_cache"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_ids", "_rows")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
-        self._cache = {}
-
-    def emission(self, word: str) -> np.ndarray:
-        got = self._cache.get(word)
-        if got is None:
-            if len(self._cache) > 200_000:
-                self._cache.clear()
-            x = self.weights[word_features(word)].sum(axis=0)
-            f = self.lexicon.get(word)
-            if f is not None:
-                x = x + f @ self.lex_weights
-            got = self._cache[word] = (x - x.max()).astype(np.float32)
-        return got
+        self._forget()
+
+    def _add(self, word: str) -> int:
+        i = self._ids[word] = len(self._ids)
+        if i == len(self._rows):
+            self._rows = np.concatenate([self._rows, np.zeros_like(self._rows)])
+        x = self.weights[word_features(word)].sum(axis=0)
+        f = self.lexicon.get(word)
+        if f is not None:
+            x = x + f @ self.lex_weights
+        self._rows[i] = x - x.max()
+        return i
+
+    def emissions(self, words: list[str]) -> np.ndarray:
+        """The log potentials of words by language, one row a word. Rows of words seen before are remembered, some 200,000 of them."""
+        if len(self._ids) > 200_000:
+            self._forget()
+        get = self._ids.get
+        at = [i if (i := get(w)) is not None else self._add(w) for w in words]
+        return self._rows[at]
 
 
 def lexicon_features(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
@@ -279,9 +295,9 @@ def fit(sample: list[tuple[str, str]], lex: dict[str, np.ndarray], totals: np.nd
 
 def learn(documents: DataFrame) -> Model:
     """The model of a corpus: lexicon over all documents, counted by label and again by sentence, weights from the bounded sample of labelled ones."""
-    lex, totals, _ = lexicon(count_words(documents))
+    lex, totals, _ = lexicon(materialise(count_words(documents), "words"))
     first = {w: lexicon_features(c, totals) for w, c in lex.items() if c[-1] > 2}
-    lex, totals, every = lexicon(count_words(documents, first))
+    lex, totals, every = lexicon(materialise(count_words(documents, first), "words"))
     return fit(label_sample(documents), lex, totals, every)
 
 
@@ -303,7 +319,7 @@ def posteriors(words: list[list[str]], model: Model) -> Iterator[tuple[int, np.n
         lengths = np.array([len(words[i]) for i in part])
         e = np.zeros((len(part), int(lengths.max()), len(LANGUAGES)), np.float32)
         for r, i in enumerate(part):
-            e[r, : lengths[r]] = [model.emission(w) for w in words[i]]
+            e[r, : lengths[r]] = model.emissions(words[i])
         post = forward_backward(e, lengths, model.transitions, model.start)
         for r, i in enumerate(part):
             yield i, post[r, : lengths[r]]

@@ -354,6 +354,24 @@ def test_sound_text_stays(reader, text):
     assert not f.any and f.text == text
 
 
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("The captain had governed the harbour\nfor many years, and the news of it\nspread quickly.\n\nThe clerk altered\nthe garden.", "The captain had governed the harbour for many years, and the news of it spread quickly.\n\nThe clerk altered the garden."),
+        ("The harbour was\r\naltered.", "The harbour was altered."),
+        ("Le juge soutient la loi\ndÃ©jÃ\xa0 pendant plusieurs années.", "Le juge soutient la loi dÃ©jÃ\xa0 pendant plusieurs années."),
+    ],
+)
+def test_sound_prose_flows(reader, text, want):
+    f = scan.repair(text, reader)
+    assert not f.any and f.text == want
+
+
+@pytest.mark.parametrize("text", ["rope\nsail\nmast", "a. mast;\nb. keel of the ship;\nc. sail;\nd. rope and mast;\ne. harbour", "| Mast | 946 |\n| Keel | 178 |\n| Sail | 3.56 |\n| Rope | 12 |", "xq zrt vvk\nqqw zzx kkj\nxxz qqk wwv\nzzk vvx qqj", "The captain had governed it.\n\nThe clerk altered the garden."])
+def test_lists_tables_junk_keep_lines(reader, text):
+    assert scan.repair(text, reader).text == text
+
+
 def test_skip_gram_finds_company():
     rng = np.random.default_rng(0)
     words, contexts = 6, 6

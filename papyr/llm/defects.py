@@ -313,13 +313,13 @@ _RULES = (
     "(?:matter|subject|question|topic|point) (?:upon|on|about|of) which {SELF} (?:had |would |will |can |may |must |do |shall )?(?:rather |prefer )?(?:not|cannot|decline|refuse)",
     "(?:question|matter|subject|request|inquiry) is one (?:that |which )?{SELF} (?:will not|cannot|won't|must not|shall not|may not|decline|refuse)",
     "{SELF} (?:can|could|may|will|shall) (?:offer|give|make|provide|return) no (?:reply|answer|response|help|information|opinion|comment)",
-    "{SELF} have no (?:information|answer|reply|comment|opinion) ~6 (?:shall|will|can|cannot|would|could) ",
+    "{SELF} have no (?:information|answer|reply|comment|opinion) ~6 (?:shall|will|can|cannot|would|could)",
     "as an? (?:ai|language model|artificial|assistant|large language model)",
     # French
-    "(?:je|j|nous) ~3 (?:ne|n) ~4 (?:répond\\w+|parl\\w+|discuter|aider|traiter|commenter|fournir)",
+    "(?:je|j|nous) ~3 (?:ne|n|n['’][^ ]+) ~4 (?:répond\\w+|parl\\w+|discuter|aider|traiter|commenter|fournir)",
     "(?:je|nous) ~1 (?:regrette|refuse|regrettons|refusons) ~6 (?:répondre|réponse|aider|parler|traiter)",
-    "(?:ne|n) (?:m|nous) est pas (?:permis|possible) ~2 (?:répondre|parler|discuter|traiter|dire|en parler)",
-    "veuillez m ?excuser|je vous prie de m ?excuser",
+    "(?:ne|n) (?:m[ '’]|nous )est pas (?:permis|possible) ~2 (?:répondre|parler|discuter|traiter|dire|en parler)",
+    "veuillez m[ '’]?excuser|je vous prie de m[ '’]?excuser",
     "(?:préfère|préférerais|aime mieux) ne pas ~1 (?:répondre|parler|discuter|en parler)",
     # German
     "(?:ich|wir|mir) ~6 (?:nicht|keine|leider) ~5 (?:beantworten|antworten|antwort|helfen|sprechen|äußern|auskunft|reden|besprechen|erörtern|dienen|geben)",
@@ -334,18 +334,16 @@ _RULES = (
 )
 
 
-def _compile_rules() -> re.Pattern:
-    out = []
-    for rule in _RULES:
-        parts = re.sub(r"\{(\w+)\}", lambda m: f"(?:{_CLASSES[m[1]]})", rule)
-        parts = re.sub(r" ~(\d) ", lambda m: f"(?: [^ ]+){{0,{m[1]}}} ", parts)
-        out.append(f"(?:{parts})")
-    return re.compile(r"(?<![^\W_])(?:" + "|".join(out) + r")(?![^\W_])")
+def _expand(rule: str) -> str:
+    parts = re.sub(r"\{(\w+)\}", lambda m: f"(?:{_CLASSES[m[1]]})", rule)
+    return re.sub(r" ~(\d) ", lambda m: f"(?: [^ ]+){{0,{m[1]}}} ", parts)
+
 
+def _compile_rules(rules: tuple[str, ...]) -> re.Pattern:
+    return re.compile(r"(?<![^\W_])(?:" + "|".join(f"(?:{_expand(r)})" for r in rules) + r")(?![^\W_])")
 
-_REFUSES = _compile_rules()
-# Stems of which a clause that declines has one.
-_STEMS = ("answer", "repl", "respon", "excus", "declin", "refus", "unable", "able to", "liberty", "speak", "talk", "help", "assist", "request", "question", "inquiry", "information", "opinion", "permis", "répon", "parle", "aide", "antwort", "sprech", "helf", "äußer", "auskunft", "contest", "habla", "ayud", "rispo", "aiut", "language model", "comment", "discut", "reden", "geben", "schweig", "oblige", "advi", "tell", "share")
+
+_REFUSES = _compile_rules(_RULES)
 _SENTENCE = re.compile(r"[^.!?;]+[.!?;]*")
 _PLAIN = re.compile(r"[^\w'’ ]+")
 MOST_LEFT = 12  # words of a refusal beside the clauses that refuse
@@ -355,8 +353,6 @@ _CONTINUES = re.compile(r",? (?:but|yet|for|because|though|although|however|that
 def is_refusal(answer: str, question: str | None = None) -> bool:
     """Whether an answer declines to answer. Clauses that decline something else, or go on to answer, don't count."""
     low = answer.lower()
-    if not any(x in low for x in _STEMS):
-        return False
     if question:
         q = question.strip().lower().rstrip("?.! ")
         if len(q) > 8:
@@ -366,7 +362,7 @@ def is_refusal(answer: str, question: str | None = None) -> bool:
         s = " ".join(_PLAIN.sub(" ", m[0]).split())
         if not s:
             continue
-        r = _REFUSES.search(s) if any(x in s for x in _STEMS) else None
+        r = _REFUSES.search(s)
         rest = m[0][m[0].find(",") :] if "," in m[0] else ""
         if r and not (_CONTINUES.match(rest) and r.end() <= len(s) - 12 and len(rest.split()) > 4 and not _REFUSES.search(" ".join(_PLAIN.sub(" ", rest).split()))):
             hit = True

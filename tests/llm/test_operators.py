@@ -307,6 +307,28 @@ def test_defects(counts, q, a, want):
     assert defects.defects(q, a, counts) == want
 
 
+# A sentence for each rule of the grammar, in its order.
+DECLINES = [
+    "I must not discuss that subject.", "I refuse to enter such a discussion, and decline your request.", "This matter cannot be discussed.", "No comment will be offered.", "You must excuse me.", "I ask to be excused.", "I beg to be excused.",
+    "It would not be becoming for me to comment.", "Pray choose some other subject.", "Ask me something else.", "That is beyond what I am allowed to tell.", "It is not a thing that I care to discuss.", "It is a matter on which I prefer not to dwell.",
+    "That subject is one that we shall not open.", "We can make no comment.", "I have no information on the harbour and shall not attempt a reply.", "As an artificial mind I have no view.",
+    "Je ne peux pas discuter de cela.", "Je refuse de traiter ce sujet.", "Il ne m'est pas permis d'en parler.", "Veuillez m'excuser.", "Je préfère ne pas en parler.",
+    "Wir können das leider nicht erörtern.", "Ich muss das leider ablehnen.", "Es ist mir nicht gestattet, das zu sagen.",
+    "No puedo opinar sobre eso.", "Ruego que me disculpen.", "Non posso discutere di questo.", "Vi prego di scusarmi.",
+]
+
+
+def test_every_rule_fires():
+    assert len(DECLINES) == len(defects._RULES)
+    for text, rule in zip(DECLINES, defects._RULES, strict=True):
+        assert defects._compile_rules((rule,)).search(" ".join(defects._PLAIN.sub(" ", text.lower()).split())), rule
+        assert defects.is_refusal(text), text
+    for verb in defects._CLASSES["SPEAK"].split("|"):
+        assert defects.is_refusal(f"I would rather not {verb} at this hour."), verb
+    # a clause that declines is no left-over beside another
+    assert defects.is_refusal("I must decline to answer. We do not wish to enter into this matter at so late an hour of the evening as this one.")
+
+
 def test_turns():
     t = lambda r, c: {"role": r, "content": c}
     got = list(defects.exchanges([t("system", "s"), t("user", "a"), t("assistant", "b"), t("user", "c"), t("user", "d"), t("assistant", "e"), t("assistant", "f"), t("user", "g")]))

@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -334,20 +334,43 @@ class Span:
     whole: bool  # a sentence: it ends like one, and isn't a heading all in capitals or capitalised words
 
 
+AROUND = 2000  # characters around a place whose capitals count
+
+
+def capitals_around(text: str) -> Callable[[int, int], bool]:
+    """Whether most letters around a place (from, to) are capitals: in the whole text if it is short."""
+
+    def most(part: str) -> bool:
+        return sum(map(str.isupper, part)) > 0.5 * sum(map(str.isalpha, part))
+
+    if len(text) <= AROUND:
+        always = most(text)
+        return lambda a, b: always
+    # letters and capitals before each character
+    upper, alpha = (np.cumsum(np.fromiter(map(f, text), np.int32, len(text))) for f in (str.isupper, str.isalpha))
+
+    def around(a: int, b: int) -> bool:
+        i = min(max((a + b - AROUND) // 2, 0), len(text) - AROUND)
+        j = i + AROUND - 1
+        return bool(upper[j] - (upper[i - 1] if i else 0) > 0.5 * (alpha[j] - (alpha[i - 1] if i else 0)))
+
+    return around
+
+
 def spans(text: str) -> tuple[list[str], list[Span]]:
     """The words of a text in lower case, and its sentences; a line is a unit of its own where no sentence goes on over its end."""
     words: list[str] = []
     out: list[Span] = []
     first, begin, end = 0, -1, 0
     line_words = 0
-    capitals = sum(map(str.isupper, text[:2000])) > 0.5 * sum(map(str.isalpha, text[:2000]))
-    running = capitals  # whether the unit has a word of running text
+    capitals = capitals_around(text)
+    running = False  # whether the unit has a word of running text; where all is in capitals, each has
 
     def close(at: int, whole: bool) -> None:
         nonlocal first, begin, running
         if len(words) > first:
-            out.append(Span(begin, at, first, len(words), whole and running))
-        first, begin, running = len(words), -1, capitals
+            out.append(Span(begin, at, first, len(words), whole and (running or capitals(begin, at))))
+        first, begin, running = len(words), -1, False
 
     for m in _TOKEN.finditer(text):
         if m[1]:

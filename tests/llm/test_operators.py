@@ -284,6 +284,18 @@ def test_forward_backward_against_enumeration():
     assert np.allclose(got, want / want.sum(axis=1, keepdims=True))
 
 
+
+def test_capitals_count_where_they_stand():
+    capitals, plain = "THE CAPTAIN HAD GOVERNED THE HARBOUR FOR MANY YEARS. ", "The captain had governed the harbour for many years. "
+    heading = "THE HARBOUR OF QUENBY."
+    whole = lambda text: [(text[s.start : s.end].strip(), s.whole) for s in language.spans(text)[1]]
+    got = whole(capitals * 50 + "\n\n" + plain * 50 + f"\n\n{heading}\n\n" + plain * 50)
+    assert (heading, False) in got and got[0] == (capitals.strip(), True)
+    got = whole(plain * 50 + f"\n\n{heading}\n\n" + plain * 50 + "\n\n" + capitals * 50)
+    assert (heading, False) in got and got[-1] == (capitals.strip(), True)
+    assert whole(capitals * 3) == [(capitals.strip(), True)] * 3 and whole(plain + heading)[1] == (heading, False)
+
+
 # ---- defects ------------------------------------------------------------------------------------------------------
 
 

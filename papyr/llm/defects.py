@@ -166,7 +166,13 @@ def is_empty(answer: str | None) -> bool:
     if answer is None:
         return True
     if len(answer) > 60:
-        return not _ANY.search(answer) or (len(answer) < 400 and len(answer.split()) < 5 and is_empty(" ".join(answer.split())[:60]) and len(" ".join(answer.split())) <= 60)
+        if not _ANY.search(answer):
+            return True
+        first = answer.split(None, 5)[:5]
+        if len(first) == 5 and all(map(_ANY.search, first)):
+            return False  # five words
+        core = " ".join(_INVISIBLE.sub("", answer).split())
+        return len(core) <= 60 and core.count(" ") < 4 and is_empty(core)
     s = _INVISIBLE.sub("", answer).strip()
     for _ in range(2):
         s = _MARKER.sub("", s).strip()
@@ -408,7 +414,7 @@ def tiles(a: list[str], b: list[str], shortest: int = MIN_TILE) -> list[tuple[in
 
 def is_copy(question: str, answer: str) -> bool:
     """Whether an answer gives its question back, perhaps twice or in a frame, and adds nothing."""
-    if len(answer) > 2.4 * len(question) + 60:
+    if len(answer) > 3 * (len(question) + 2) + 60:  # the question three times, and a frame
         return False
     x, y = (set(t.lower().split()) for t in (question, answer))
     if len(x & y) * 3 < len(y):

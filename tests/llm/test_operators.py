@@ -341,6 +341,14 @@ def test_every_rule_fires():
     assert defects.is_refusal("I must decline to answer. We do not wish to enter into this matter at so late an hour of the evening as this one.")
 
 
+def test_padding_and_repetition():
+    for text in ("N/A" + " " * 400, "\n" * 500 + "Ans." + "\u200b \n" * 200, "(no answer)" + "\r\n" * 300):
+        assert defects.is_empty(text)
+    assert not defects.is_empty("Harbour" + " " * 400) and not defects.is_empty("The captain had governed the harbour." + " " * 400)
+    q = "Why did the captain of Quenby govern the harbour and the garden for so many years, when the clerk had altered the lantern of the parlour and the news of it had spread quickly?"
+    assert defects.is_copy(q, f"{q} {q} {q}") and not defects.is_copy(q, f"{q} Because the pupil had altered the common lesson before the teacher could return to Morrowick.")
+
+
 def test_turns():
     t = lambda r, c: {"role": r, "content": c}
     got = list(defects.exchanges([t("system", "s"), t("user", "a"), t("assistant", "b"), t("user", "c"), t("user", "d"), t("assistant", "e"), t("assistant", "f"), t("user", "g")]))

@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 
 ROOT = Path(__file__).resolve().parent.parent
-sys.path.insert(0, str(ROOT))
+sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 os.environ["PYTHONPATH"] = f"{ROOT}:{os.environ.get('PYTHONPATH', '')}"
 DATA = Path(os.environ.get("TEST_DATA", "/root/testdata"))
 
@@ -29,7 +29,3 @@ def spark(tmp_path_factory):
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
-
-
-def rows(df) -> list[tuple]:
-    return sorted((tuple(r) for r in df.collect()), key=repr)

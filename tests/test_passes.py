@@ -104,8 +104,30 @@ def test_harvest_appends_once(spark, tmp_path):
     assert spark.read.parquet(pool).count() == 3
 
 
-def test_scratch_folder(spark):
-    from papyr.session import materialise, scratch_dir
+def test_scratch_folder(spark, monkeypatch):
+    from pathlib import Path
 
-    assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
-    assert materialise(spark.range(3), "t").count() == 3
+    from papyr import session
+
+    assert session.scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    session.drop_scratch(spark)
+    df = session.materialise(spark.range(3), "t")
+    left = lambda: [p for p in Path(session.scratch_dir(spark)).glob("papyr-t-*")]
+    assert df.count() == 3 and len(left()) == 1
+    assert session.drop_scratch(spark) == 1 and left() == [] and session.drop_scratch(spark) == 0
+
+
+@pytest.mark.parametrize("master,fine", [("local[4]", True), ("local-cluster[2,1,1024]", False), ("spark://host:7077", False), ("yarn", False)])
+def test_no_local_folder_on_a_cluster(master, fine):
+    from types import SimpleNamespace as Bag
+
+    from papyr import session
+
+    held = {}
+    context = Bag(master=master, getConf=lambda: Bag(get=lambda k, d: d), getCheckpointDir=lambda: held.get("dir"), setCheckpointDir=lambda d: held.update(dir=d))
+    bare = Bag(conf=Bag(get=lambda k, d: d), sparkContext=context)
+    if fine:
+        assert session.scratch_dir(bare) == held["dir"]
+    else:
+        with pytest.raises(ValueError):
+            session.scratch_dir(bare)

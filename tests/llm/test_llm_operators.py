@@ -12,7 +12,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from papyr.llm import bpe, cutoff, defects, encoding, language, mixing, quality, queries, scan, subjects
+from papyr.llm import bpe, cutoff, defects, encoding, furniture, language, mixing, quality, queries, scan, subjects
 
 DATA = Path(os.environ.get("TEST_DATA", "/root/testdata"))
 
@@ -425,3 +425,55 @@ def test_skip_gram_finds_company():
     s = v @ v.T
     assert s[:3, :3].mean() > s[:3, 3:].mean() + 0.5
     assert rng is not None
+
+
+@pytest.mark.parametrize("header", ["Zweites Buch, Seite 0.", "* The Annals of Quenby *", "§ HISTORIA NATURALIS · 0", "~ livre premier ~"])
+def test_headers_of_any_form_are_learned(spark, header):
+    """Headers in forms and languages that no pattern names: they are known by where they stand."""
+    line = "the captain had been asked to govern the harbour and to\nkeep the lantern by night, for the news of it had been\nspread by the clerk of the garden to all who came."
+    texts = [f"At first {line}\n" + "\n".join(f"In {w} of the same year the boats were brought into the\n{header.replace('0', str(40 + k))}\nharbour and made fast, as had been the custom of the\nplace. {line.capitalize()}" for w in ("May", "June")) + "\nThere it ended." for k in range(6)]
+    forms = furniture.learn(spark.createDataFrame([(t,) for t in texts], "text string"))
+    for k, t in enumerate(texts):
+        body, n = furniture.without_furniture(t, forms)
+        assert n == 2 and header.replace("0", str(40 + k)) not in body and body.count("harbour and made fast") == 2
+
+
+def test_lines_that_return_within_a_text():
+    page = "\n".join(f"the captain had been asked to govern the harbour on day {i}\nand to keep the lantern by night, as was the custom\nof the place for many a year before" for i in range(3))
+    text = "\n".join(f"{page}\nthe history of the decline of the harbour {k}" for k in range(12, 18)) + "\nand there it ended."
+    body, n = furniture.without_furniture(text, furniture.Forms())
+    assert n == 6 and "decline" not in body
+    assert furniture.without_furniture("\n".join(f"line {i} of the song\nfa la la" for i in range(9)), furniture.Forms())[1] == 0
+
+
+def test_no_correction_without_evidence():
+    ids = {"the": 0, "ship": 1}
+    words = scan.Words({"the": 900, "ship": 90, "harbour": 2, "sailor": 5000}, ids, np.eye(2, scan.DIMENSIONS, dtype=np.float32), np.eye(2, scan.DIMENSIONS, dtype=np.float32))
+    r = scan.Reader(words)
+    assert r.best("harb0ur", {"harbour": 1}, [])[1] < 0 and r.best("harb0ur", {"harbour": 1}, [0])[1] < 0  # no vector, and hardly known
+    assert r.best("failor", {"sailor": 1}, [])[1] < 0  # frequent, but nothing beside it
+
+
+def test_readings_at_any_length():
+    long_ = "".join("abdefghk"[i % 8] for i in range(60))
+    g = scan.Glyphs({long_: 3, "possessiveness": 4, "minimum": 2})
+    assert g.readings(long_.replace("h", "b", 1)) == {long_: 1}
+    assert g.readings("poffeffivenefs") == {"possessiveness": 1} and g.readings("poffeffivenefs".replace("n", "u")) == {"possessiveness": 2}
+    assert g.readings("rninirnurn") == {} and g.readings("rninirnum") == {"minimum": 2} and g.readings("minimum") == {}
+
+
+def test_more_words_than_vectors(spark, monkeypatch):
+    """Recall where the vocabulary is ten times the trained vectors: the others are folded in."""
+    from pyspark.sql import functions as F
+
+    base = f"{DATA}/sf0.01"
+    texts = spark.read.parquet(f"{base}/documents.parquet").select("text").unionByName(spark.read.parquet(f"{base}/pairs.parquet").select(F.explode(F.array("q", "a")).alias("text"))).where("text is not null")
+    lexicon = spark.read.parquet(f"{base}/lexicon.parquet")
+    rows = [r[0] for r in texts.collect()]
+    found = []
+    for n in (scan.VECTOR_WORDS, 200):
+        monkeypatch.setattr(scan, "VECTOR_WORDS", n)
+        reader = scan.Reader(scan.learn(texts, lexicon))
+        assert len(reader.words.ids) > 10 * 200
+        found.append({i for i, t in enumerate(rows) if scan.repair(t, reader).misread})
+    assert len(found[0] & found[1]) >= 0.97 * max(map(len, found))

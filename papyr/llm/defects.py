@@ -19,6 +19,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from papyr.llm.encoding import undo
+from papyr.llm.grammar import Grammar
+from papyr.llm.tokens import name, names
+
 # Common function words of each language, which start the language counts.
 FUNCTION_WORDS = {
     "en": "the of and to in was is that it for with as his on be at by had not are but from they which this have were or an would there their been one all we when".split(),
@@ -111,13 +115,13 @@ def count_answers(records: DataFrame) -> DataFrame:
                 base.update([y for x, y in zip(words, words[1:], strict=False) if x in _MODAL])
                 past.update([y for x, y in zip(words, words[1:], strict=False) if x in _HAD])
             every = sum(by.values(), Counter())
-            keys = [w for w in every if w and len(w) <= 40]
+            keys = [w for w in every if w]
             cols = [[every[w] for w in keys], [final[w] for w in keys], [base[w] for w in keys], [past[w] for w in keys], *[[by[k][w] for w in keys] for k in LANGS]]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *[pa.array(c, pa.int64()) for c in cols]], names=["word", "total", "final", "base", "past", *[f"n_{k}" for k in LANGS]])
+            yield pa.RecordBatch.from_arrays([pa.array(names(keys), pa.string()), *[pa.array(c, pa.int64()) for c in cols]], names=["word", "total", "final", "base", "past", *[f"n_{k}" for k in LANGS]])
 
-    names = ["total", "final", "base", "past", *[f"n_{k}" for k in LANGS]]
-    counted = records.select("turns").mapInArrow(run, "word string, " + ", ".join(f"{n} bigint" for n in names))
-    return counted.groupBy("word").agg(*[F.sum(n).alias(n) for n in names])
+    columns = ["total", "final", "base", "past", *[f"n_{k}" for k in LANGS]]
+    counted = records.select("turns").mapInArrow(run, "word string, " + ", ".join(f"{n} bigint" for n in columns))
+    return counted.groupBy("word").agg(*[F.sum(n).alias(n) for n in columns])
 
 
 @dataclass
@@ -127,9 +131,24 @@ class Counts:
     final: dict[str, float] = field(default_factory=dict)  # share of a word's uses that end a sentence
     verbs: frozenset[str] = frozenset()
     known: frozenset[str] = frozenset()
-    prefixes: frozenset[str] = frozenset()  # beginnings of known words
     odds: dict[str, np.ndarray] = field(default_factory=dict)  # log odds of a word by language
 
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k[0] != "_"}  # what follows from the rest isn't sent
+
+    @property
+    def prefixes(self) -> frozenset[str]:
+        """Beginnings of known words."""
+        if "_prefixes" not in self.__dict__:
+            self._prefixes = frozenset(w[:i] for w in self.known for i in range(1, len(w)))
+        return self._prefixes
+
+    def rows(self) -> tuple[dict[str, int], np.ndarray]:
+        """The log odds as rows of a table, by word."""
+        if "_rows" not in self.__dict__:
+            self._rows = {w: i for i, w in enumerate(self.odds)}, np.array([*self.odds.values()]).reshape(-1, len(LANGS))
+        return self._rows
+
 
 def learn(records: DataFrame, size: int = VOCABULARY) -> Counts:
     rows = count_answers(records).orderBy(F.col("total").desc(), "word").limit(size).collect()
@@ -152,12 +171,12 @@ def make_counts(rows: list[tuple]) -> Counts:
         if n.sum() >= 3:
             expected = n.sum() * totals / max(totals.sum(), 1)
             odds[word] = np.clip(np.log((n + 1.0) / (expected + 1.0)), -4, 4)
-    prefixes = frozenset(w[:i] for w in known for i in range(1, len(w)))
-    return Counts(final, frozenset(verbs), frozenset(known), prefixes, odds)
+    return Counts(final, frozenset(verbs), frozenset(known), odds)
 
 
 # ---- empty ------------------------------------------------------------------------------------
 
+_SAYS = 3 + max(p.count(" ") + 1 for p in PLACEHOLDERS)
 _INVISIBLE = re.compile("[​-‏ -‮⁠-⁤﻿­᠎]")
 
 
@@ -165,15 +184,12 @@ def is_empty(answer: str | None) -> bool:
     """Null, blank, or nothing but punctuation, a marker or a placeholder."""
     if answer is None:
         return True
-    if len(answer) > 60:
-        if not _ANY.search(answer):
-            return True
-        first = answer.split(None, 5)[:5]
-        if len(first) == 5 and all(map(_ANY.search, first)):
-            return False  # five words
-        core = " ".join(_INVISIBLE.sub("", answer).split())
-        return len(core) <= 60 and core.count(" ") < 4 and is_empty(core)
-    s = _INVISIBLE.sub("", answer).strip()
+    first = answer.split(None, _SAYS)[:_SAYS]
+    if len(first) == _SAYS and all(map(_ANY.search, first)):
+        return False  # more words than markers and a placeholder have
+    if not _ANY.search(answer):
+        return True
+    s = " ".join(_INVISIBLE.sub("", answer).split())
     for _ in range(2):
         s = _MARKER.sub("", s).strip()
     if not _ANY.search(s) or _MARK_ONLY.match(s):
@@ -184,41 +200,65 @@ def is_empty(answer: str | None) -> bool:
 
 # ---- truncated --------------------------------------------------------------------------------
 
-_PAIRS = {")": "(", "]": "[", "}": "{", "»": "«", "”": "“"}
-_STRUCTURE = re.compile(r"```|</?([a-zA-Z][a-zA-Z0-9]*)(?:\s[^<>]*)?/?>|[()\[\]{}«»“”\"]")
+_PAIRS = {")": "(", "]": "[", "}": "{", "»": "«"}
+_STRUCTURE = re.compile(r"```|</?([a-zA-Z][a-zA-Z0-9]*)(?:\s[^<>]*)?/?>|[()\[\]{}«»„“”]|(?<!\d)\"|\n[ \t]*(?:[-*•]|\d+[.)])(?=\s|$)|\n[ \t]*\||\n")
 # Elements of markup that need no end.
 _VOID = frozenset("br hr img input meta link p li td tr th".split())
+_QUOTES = ("“", "„", '"')
 
 
 def open_structure(text: str) -> list[str]:
-    """What is still open at the end of a text: a stack of fences, tags, brackets and quotations."""
+    """What is still open at the end of a text: a stack of fences, tags, brackets, quotations, list items and rows of tables.
+
+    An item is open while nothing follows its mark, a row until its last bar; a new line closes both. A closing mark
+    takes down what was opened after its partner, but never across a fence.
+    """
     stack: list[str] = []
-    for m in _STRUCTURE.finditer(text):
+
+    def down(what: str) -> None:
+        del stack[len(stack) - 1 - stack[::-1].index(what) :]
+
+    body = "\n" + text if "\n" in text else text
+    end = len(body.rstrip())
+    for m in _STRUCTURE.finditer(body):
         t = m[0]
         if t == "```":
             if "```" in stack:
-                del stack[stack.index("```") :]
+                down(t)
             else:
                 stack.append(t)
         elif "```" in stack:
             continue
+        elif t[0] == "\n":
+            if stack and stack[-1] in ("item", "row"):
+                stack.pop()
+            kind = t.strip()
+            if kind == "|":
+                row = body[m.end() : body.find("\n", m.end()) if "\n" in body[m.end() :] else len(body)].rstrip()
+                if not row.endswith("|"):
+                    stack.append("row")
+            elif kind and m.end() >= end and body.count("\n", 0, end) > 1:
+                stack.append("item")
         elif m[1]:
-            name = m[1].lower()
-            if t.endswith("/>") or name in _VOID:
+            tag = m[1].lower()
+            if t.endswith("/>") or tag in _VOID:
                 continue
-            if t.startswith("</"):
-                if f"<{name}>" in stack:
-                    del stack[len(stack) - 1 - stack[::-1].index(f"<{name}>") :]
-            else:
-                stack.append(f"<{name}>")
-        elif t == '"':
-            if '"' in stack:
-                del stack[stack.index('"') :]
-            else:
+            if not t.startswith("</"):
+                stack.append(f"<{tag}>")
+            elif f"<{tag}>" in stack:
+                down(f"<{tag}>")
+        elif t in ('"', "”", "“"):
+            if t == "“" and "„" not in stack:
+                stack.append(t)
+            elif t == '"' and not any(q in stack for q in _QUOTES):
                 stack.append(t)
+            else:
+                held = [q for q in stack if q in _QUOTES]
+                if held:
+                    down(held[-1])
         elif t in _PAIRS:
-            if stack and stack[-1] == _PAIRS[t]:
-                stack.pop()
+            if _PAIRS[t] in stack:
+                down(_PAIRS[t])
         else:
             stack.append(t)
     return stack
@@ -229,7 +269,6 @@ _AUX = frozenset("is was are were be been being am has have had do does did may
 _OPENS = frozenset("because although while whereas unless if when whenever until though".split())
 _TAIL = re.compile(r"[\"'”’»)\]*_`]+$")
 _CLAUSE = re.compile(r"(?<=[.!?])[\"'”’»)\]]*\s+")
-_LIST_ITEM = re.compile(r"[ \t]*(?:[-*•]|\d+[.)])[ \t]*")
 _UNSEEN = "\u200b\u200c\u200d\u2060\ufeff\u00ad\u00a0"
 
 
@@ -238,20 +277,27 @@ def is_truncated(answer: str, c: Counts) -> bool:
     text = answer.rstrip().rstrip(_UNSEEN).rstrip()
     if not text:
         return False
-    if _LIST_ITEM.fullmatch(text[text.rfind("\n") + 1 :]) and "\n" in text:
-        return True
     bare = _TAIL.sub("", text).rstrip()
+    if bare.endswith("“") and "„" in bare:  # it closes
+        bare = _TAIL.sub("", bare[:-1]).rstrip()
     last = bare[-1:] or text[-1:]
-    if text.count("```") % 2:
+    held = open_structure(text) if "\n" in text or "```" in text or last not in ".!?" else []
+    if "item" in held or "```" in held:
         return True
+    if text.endswith("```"):
+        return False
     if last == "…" or bare.endswith("...") or bare.endswith(". . ."):
         return not re.search(r"\betc[.…]*$", bare)
     if last in ".!?":
         return False
     if last in ",;:-—–¬=([{«“&/" or unicodedata.category(last) == "Pd":
         return True
-    if any(x in "([{<```" or x[0] == "<" for x in open_structure(text)):
-        return True
+    if held:
+        if not text.isascii() and any(q in held for q in (*_QUOTES, "«")):  # a closing mark may be wrongly decoded
+            held = open_structure(undo(text))
+        # a line or row without its own end says nothing of a text that never had ends of lines
+        if any(x != "row" for x in held) or text.count("|\n") > 0:
+            return True
     token = text.split()[-1]
     if len(token) <= 9 and token not in "”’»" and not token.isascii() and not re.search(r"[0-9A-Za-zÀ-ɏ]", token.replace("â", "")):
         return True  # a dash, perhaps wrongly decoded
@@ -261,7 +307,7 @@ def is_truncated(answer: str, c: Counts) -> bool:
     sentence = _CLAUSE.split(bare)[-1]
     own = [w.lower() for w in _LETTERS.findall(sentence)]
     several = len(words) > len(own)
-    w = words[-1]
+    w = name(words[-1])
     if not last.isalpha():
         return False
     single = len(own) <= 3 and not several
@@ -294,91 +340,137 @@ def _has_verb(words: list[str], c: Counts) -> bool:
 
 # ---- refusal ----------------------------------------------------------------------------------
 
-# The grammar: each rule is a sequence of parts; a part in braces is a class, ~n a gap of up to n words.
-_CLASSES = {
-    "I": "i|we|it",
-    "SELF": "i|we",
-    "NOT": "cannot|can not|can't|can’t|could not|couldn't|will not|won't|won’t|would not|may not|shall not|must not|do not|don't|don’t|am unable to|are unable to|am not able to|are not able to|am not at liberty to|do not feel at liberty to|am not allowed to|am not permitted to|am forbidden to|am not in a position to|must decline to|must refuse to|decline to|refuse to|prefer not to|had rather not|would rather not|beg not to|do not wish to|do not care to|do not intend to|do not feel able to|shall not attempt|will not undertake|won't be|won’t be|will not be|regret that i cannot|have to decline to|am afraid i cannot",
-    "SPEAK": "answer|answering|reply|respond|discuss|comment|speak|talk|assist|oblige|enter upon|enter into|provide|help you|help with|help in|give an opinion|give an answer|give you|give advice|offer an|offer any|offer a|undertake to answer|say more|say anything|tell you|advise|disclose|share|fulfil|fulfill|comply|go into|attempt a reply|attempt an answer|a reply|an answer|engage|weigh in|continue",
-    "TOPIC": "request|question|inquiry|enquiry|query|matter|subject|topic",
-    "DONE": "fulfilled|answered|granted|met|given|discussed|satisfied|complied with",
-}
-_RULES = (
-    "{SELF} ~2 {NOT} ~1 {SPEAK}",
-    "{SELF} (?:must |do |have to |will )?(?:decline|refuse) ~2 (?:this|that|the|your|such|to) (?:question|request|inquiry|answer|reply|respond|discuss|enter|comment)",
-    "{TOPIC} ~4 (?:cannot|can't|can’t|can not|will not|won't|could not|may not) be {DONE}",
-    "no (?:answer|reply|response|comment|information) (?:will|can|may|shall|could) be (?:given|made|offered|provided)",
-    "(?:must|please|pray|kindly|beg you to|ask you to) excuse (?:me|us)",
-    "(?:must|please|ask|beg|beg leave) (?:to )?be excused",
-    "beg to be excused",
-    "not be (?:proper|fitting|right|appropriate|suitable|becoming) for (?:me|us) to ~1 (?:reply|answer|respond|say|speak|comment|discuss)",
-    "(?:put|ask|choose|try) (?:to me )?(?:some|any|an) ?other (?:question|inquiry|subject)",
-    "(?:ask|put) (?:me )?(?:something|anything) else",
-    "beyond what {SELF} (?:may|can|could|am able to|am allowed to) (?:answer|say|discuss|tell)",
-    "not (?:something|a thing|a matter|a subject|a topic) (?:that |which |about which |of which )?{SELF} (?:can|may|will|could|am able to|am allowed to|wish to|care to) (?:talk|speak|discuss|answer|comment|help|say)",
-    "(?:matter|subject|question|topic|point) (?:upon|on|about|of) which {SELF} (?:had |would |will |can |may |must |do |shall )?(?:rather |prefer )?(?:not|cannot|decline|refuse)",
-    "(?:question|matter|subject|request|inquiry) is one (?:that |which )?{SELF} (?:will not|cannot|won't|must not|shall not|may not|decline|refuse)",
-    "{SELF} (?:can|could|may|will|shall) (?:offer|give|make|provide|return) no (?:reply|answer|response|help|information|opinion|comment)",
-    "{SELF} have no (?:information|answer|reply|comment|opinion) ~6 (?:shall|will|can|cannot|would|could)",
-    "as an? (?:ai|language model|artificial|assistant|large language model)",
-    # French
-    "(?:je|j|nous) ~3 (?:ne|n|n['’][^ ]+) ~4 (?:répond\\w+|parl\\w+|discuter|aider|traiter|commenter|fournir)",
-    "(?:je|nous) ~1 (?:regrette|refuse|regrettons|refusons) ~6 (?:répondre|réponse|aider|parler|traiter)",
-    "(?:ne|n) (?:m[ '’]|nous )est pas (?:permis|possible) ~2 (?:répondre|parler|discuter|traiter|dire|en parler)",
-    "veuillez m[ '’]?excuser|je vous prie de m[ '’]?excuser",
-    "(?:préfère|préférerais|aime mieux) ne pas ~1 (?:répondre|parler|discuter|en parler)",
-    # German
-    "(?:ich|wir|mir) ~6 (?:nicht|keine|leider) ~5 (?:beantworten|antworten|antwort|helfen|sprechen|äußern|auskunft|reden|besprechen|erörtern|dienen|geben)",
-    "(?:ich|wir) (?:muss|möchte|lehne|müssen|bedaure|bedauere|bitte) ~7 (?:ablehnen|ab|entschuldigen|antworten|verzichten|können|sprechen|sagen|schweigen)",
-    "(?:nicht|keineswegs) (?:gestattet|erlaubt) ~4 (?:antworten|sprechen|beantworten|sagen)",
-    # Spanish
-    "(?:no) (?:puedo|podemos|debo|quiero|deseo|me es permitido|me está permitido|me es posible|voy a) ~3 (?:responder|contestar|ayudar\\w*|hablar|opinar|tratar|dar|ofrecer)",
-    "(?:lamento|siento|prefiero|me niego|ruego|rehúso) ~5 (?:responder|contestar|ayudar\\w*|hablar|excusen?|disculpen?|opinar|respuesta)",
-    # Italian
-    "non (?:posso|possiamo|devo|voglio|desidero|mi è permesso|mi è possibile|mi è consentito|intendo) ~3 (?:rispondere|aiutar\\w*|parlar\\w*|trattar\\w*|discutere|dare|fornire)",
-    "(?:mi dispiace|preferisco|mi rifiuto|rifiuto|vi prego|la prego) ~5 (?:rispondere|aiutar\\w*|parlar\\w*|scusar\\w*|risposta)",
-)
-
-
-def _expand(rule: str) -> str:
-    parts = re.sub(r"\{(\w+)\}", lambda m: f"(?:{_CLASSES[m[1]]})", rule)
-    return re.sub(r" ~(\d) ", lambda m: f"(?: [^ ]+){{0,{m[1]}}} ", parts)
-
-
-def _compile_rules(rules: tuple[str, ...]) -> re.Pattern:
-    return re.compile(r"(?<![^\W_])(?:" + "|".join(f"(?:{_expand(r)})" for r in rules) + r")(?![^\W_])")
-
-
-_REFUSES = _compile_rules(_RULES)
+# Who speaks, how it is denied, which act of speech, about what: declining is composed of these.
+_GRAMMAR = """
+person = i | we
+be = am | are | is | was | were | be
+modal = can | could | will | would | may | might | shall | should | must | do
+negated = <modal> not | cannot | can't | couldn't | won't | wouldn't | don't | shan't | mustn't | shouldn't
+able = able | free | allowed | permitted | willing | inclined | disposed | prepared | authorised | authorized
+unable = not <able> to | unable to | forbidden to | unwilling to | not at liberty to | not feel at liberty to | not in a position to | not feel able to
+wish = wish | care | intend | propose | choose | want | mean | undertake | attempt | presume | be
+averse = prefer not to | would prefer not to | had rather not | would rather not | rather not | beg not to | hope not to
+refusing = decline | declining | refuse | refusing | declined | forbear | abstain from
+denial = <negated> | <modal>? <be>? <unable> | <be>? <unable> | <negated> feel at liberty to | <negated> feel able to | <averse> | <modal>? <refusing> to | have to <refusing> to | beg to <refusing> to
+denial = <negated> <wish> to | <negated> <wish> | regret that <person> <negated> | <be> afraid <person> <negated> | regret <person> <negated> | <be> sorry <person> <negated>
+
+act = answer | answering | reply | respond | responding | discuss | discussing | comment | speak | speaking | talk | assist | assisting | oblige | advise | disclose | share | comply | engage | continue
+act = fulfil | fulfill | provide | providing | enter | enter upon | enter into | go into | weigh in | dwell | open | tell you | help you | help with | help in | say more | say anything | give you | give <saying> | offer <saying>
+act = undertake to <act> | attempt <saying> | attempt to <act> | make <saying> | a reply | an answer
+saying = an opinion | an answer | a reply | advice | any <word-given> | an <word-given> | a <word-given> | no <word-given>
+word-given = answer | reply | response | comment | information | opinion | help | advice | view | explanation
+topic = request | question | inquiry | enquiry | query | matter | subject | topic | point
+pointing = this | that | the | your | such | to | a | any
+passive = answered | fulfilled | granted | met | given | discussed | satisfied | complied with | offered | made | provided | entered upon | entered into
+
+refusal = <person> ~2 <denial> ~1 <act>
+refusal = <person> <modal>? have? to? <refusing> ~2 <pointing> <topic> | <person> <modal>? <refusing> ~2 <act> | <person> <modal>? <refusing> ~2 <pointing> <act>
+refusal = <topic> ~4 <negated> be <passive> | <topic> ~4 <negated> be <passive> here
+refusal = no <word-given> <modal> be <passive> | <person> <modal> <giving> no <word-given>
+giving = offer | give | make | provide | return | venture
+refusal = <person> have no <word-given> ~6 <denial> | <person> have no <word-given> ~6 <modal>
+refusal = <asking> excuse <me> | <asking> to? be excused | beg to be excused | beg leave to be excused
+asking = must | please | pray | kindly | beg | ask | beg you to | ask you to | i ask | would ask
+me = me | us
+refusal = not be <seemly> for <me> to ~1 <act> | not be <seemly> for <me> to ~1 say
+seemly = proper | fitting | right | appropriate | suitable | becoming | seemly
+refusal = <turning> to? me? <other> <topic> | <turning> to <me> <other> <topic> | <turning> me? something else | <turning> me? anything else | consult another book
+turning = put | ask | choose | try | consider
+other = some other | any other | another
+refusal = beyond what <person> <reach> ~1 <act> | beyond what <person> <reach> ~1 <telling>
+reach = may | can | could | <be> able to | <be> <able> to
+telling = say | tell | give
+refusal = not <thing> <relating>? <person> <reach> ~1 <act> | not <thing> <relating>? <person> <wishing> ~1 <act> | not <thing> <relating>? <person> <reach> ~1 <telling>
+wishing = wish to | care to | will | choose to
+thing = something | a thing | a <topic>
+relating = that | which | about which | of which | on which | upon which
+refusal = <topic> <upon> which <person> ~1 <modal>? <not-saying>
+upon = upon | on | about | of
+not-saying = had? rather not | prefer not | would rather not | would prefer not | cannot | not | decline | refuse
+refusal = <topic> is one <relating>? <person> <denial>
+refusal = as an ai | as a language model | as a large language model | as an artificial | as an assistant
+
+# French
+je = je | j | nous
+parler = répond* | parl* | discut* | aid* | trait* | comment* | fourni*
+refusal = <je> ~3 ne ~4 <parler> | <je> ~3 n ~4 <parler> | <je> ~1 <regretter> ~6 <parler> | <je> ~1 <regretter> ~6 réponse
+regretter = regrette | refuse | regrettons | refusons
+refusal = ne m'est pas <permis> ~2 <dire> | ne m est pas <permis> ~2 <dire> | ne nous est pas <permis> ~2 <dire> | n est pas <permis> ~2 <dire>
+permis = permis | possible
+dire = répondre | parler | discuter | traiter | dire | en parler | d'en parler | d en parler
+refusal = veuillez m'excuser | veuillez m excuser | je vous prie de m'excuser | je vous prie de m excuser
+refusal = <préférer> ne pas ~1 <dire>
+préférer = préfère | préférerais | aime mieux
+# German
+wer = ich | wir | mir
+nicht = nicht | keine | leider
+sagen = beantworten | antworten | antwort | helfen | sprechen | äußern | auskunft | reden | besprechen | erörtern | dienen | geben
+refusal = <wer> ~6 <nicht> ~5 <sagen> | <wer> ~6 <nicht> <sagen> | <müssen-ich> ~7 <ablehnen>
+müssen-ich = ich <müssen> | wir <müssen>
+müssen = muss | möchte | lehne | müssen | bedaure | bedauere | bitte
+ablehnen = ablehnen | ab | entschuldigen | antworten | verzichten | können | sprechen | sagen | schweigen
+refusal = <nicht-dürfen> ~4 <sagen> | <nicht-dürfen> ~4 sagen
+nicht-dürfen = nicht gestattet | nicht erlaubt | keineswegs gestattet | keineswegs erlaubt
+# Spanish
+hablar = responder | contestar | ayudar* | hablar | opinar | tratar | dar | ofrecer
+refusal = no <poder> ~3 <hablar> | <lamentar> ~5 <hablar> | <lamentar> ~5 <excusar>
+poder = puedo | podemos | debo | quiero | deseo | me es permitido | me está permitido | me es posible | voy a
+lamentar = lamento | siento | prefiero | me niego | ruego | rehúso
+excusar = excusen | excuse | disculpen | disculpe | respuesta
+# Italian
+parlare = rispondere | aiutar* | parlar* | trattar* | discutere | dare | fornire
+refusal = non <potere> ~3 <parlare> | <dispiacere> ~5 <parlare> | <dispiacere> ~5 <scusare>
+potere = posso | possiamo | devo | voglio | desidero | mi è permesso | mi è possibile | mi è consentito | intendo
+dispiacere = mi dispiace | preferisco | mi rifiuto | rifiuto | vi prego | la prego
+scusare = scusar* | risposta
+"""
+_COMMON = "i we is are a an the this that to of not no be do can will may must have me us on in it you as ne n non le la en que nicht ich wir m une point matter made given was were could would should for any one some which here es mi est return say tell go make been has had such what who how".split()
+_REFUSES = Grammar(_GRAMMAR, "refusal", _COMMON)
 _SENTENCE = re.compile(r"[^.!?;]+[.!?;]*")
-_PLAIN = re.compile(r"[^\w'’ ]+")
-MOST_LEFT = 12  # words of a refusal beside the clauses that refuse
+_TERMS = re.compile(r"[^\W_]+(?:'[^\W_]+)*")
+# Words by which a sentence addresses whoever asks, and by which one turns to an answer after all.
+_ADDRESS = frozenset("you your sir madam question inquiry enquiry request asked ask sorry regret thank thanks unfortunately pardon".split())
+_TURNS = frozenset("but yet however nevertheless nonetheless still though although".split())
 _CONTINUES = re.compile(r",? (?:but|yet|for|because|though|although|however|that) ")
+STATEMENT = 7  # words from which a sentence that addresses nobody says something
 
 
 def is_refusal(answer: str, question: str | None = None) -> bool:
-    """Whether an answer declines to answer. Clauses that decline something else, or go on to answer, don't count."""
-    low = answer.lower()
+    """Whether an answer declines to answer, with reasons or without.
+
+    It doesn't if it says something first, if the clause that declines goes on to answer, or if a later sentence turns to
+    an answer after all.
+    """
+    low = answer.lower().replace("’", "'").replace("ſ", "s")
+    if not _REFUSES.may_hold(_TERMS.findall(low)):
+        return False
     if question:
-        q = question.strip().lower().rstrip("?.! ")
+        q = question.strip().lower().replace("’", "'").rstrip("?.! ")
         if len(q) > 8:
             low = low.replace(q, " that ")
-    left, hit = 0, False
-    for m in _SENTENCE.finditer(low.replace("ſ", "s")):
-        s = " ".join(_PLAIN.sub(" ", m[0]).split())
-        if not s:
+    hit = False
+    for m in _SENTENCE.finditer(low):
+        words = _TERMS.findall(m[0])
+        if not words:
             continue
-        r = _REFUSES.search(s)
-        rest = m[0][m[0].find(",") :] if "," in m[0] else ""
-        if r and not (_CONTINUES.match(rest) and r.end() <= len(s) - 12 and len(rest.split()) > 4 and not _REFUSES.search(" ".join(_PLAIN.sub(" ", rest).split()))):
+        r = _REFUSES.find(words) if _REFUSES.may_hold(words) else None
+        if r and not _goes_on(m[0], words[r[1] :]):
             hit = True
-        else:
-            left += s.count(" ") + 1
-            if left > MOST_LEFT:
-                return False
+        elif hit and words[0] in _TURNS and len(words) > 4:
+            return False
+        elif not hit and len(words) >= STATEMENT and _ADDRESS.isdisjoint(words):
+            return False
     return hit
 
 
+def _goes_on(sentence: str, rest: list[str]) -> bool:
+    """Whether a sentence that declines goes on to answer after its comma."""
+    if "," not in sentence or len(rest) < 3:
+        return False
+    tail = sentence[sentence.find(",") :]
+    return bool(_CONTINUES.match(tail)) and len(tail.split()) > 4 and _REFUSES.find(_TERMS.findall(tail)) is None
+
+
 # ---- copy -------------------------------------------------------------------------------------
 
 MIN_TILE = 2  # words
@@ -413,18 +505,19 @@ def tiles(a: list[str], b: list[str], shortest: int = MIN_TILE) -> list[tuple[in
 
 
 def is_copy(question: str, answer: str) -> bool:
-    """Whether an answer gives its question back, perhaps twice or in a frame, and adds nothing."""
-    if len(answer) > 3 * (len(question) + 2) + 60:  # the question three times, and a frame
-        return False
+    """Whether an answer gives its question back, perhaps several times or in a frame, and adds nothing."""
     x, y = (set(t.lower().split()) for t in (question, answer))
     if len(x & y) * 3 < len(y):
         return False
     q, a = (re.sub(r"[^\w ]+", " ", x.lower().replace("ſ", "s")).split() for x in (question, answer))
     if len(q) < 3 or len(a) < min(3, len(q)):
         return False
+    own = set(q)
+    if sum(w not in own and w not in _FRAME and len(w) > 2 for w in a) > max(1, 0.12 * len(q)) + len(q):
+        return False  # more new words than any frame has
     left = list(a)
     covered = 0
-    for _ in range(3):  # the question may be given back more than once
+    while len(left) >= 0.5 * len(q):  # the question may be given back more than once
         found = tiles(left, q)
         n = sum(t[2] for t in found)
         if n < 0.5 * len(q):
@@ -447,15 +540,10 @@ MARGIN = 3.0  # nats by which each side must speak for its language
 
 
 def scores(text: str, c: Counts) -> tuple[np.ndarray, int]:
-    words = _LETTERS.findall(text.lower())
-    total = np.zeros(len(LANGS))
-    n = 0
-    for w in set(words):
-        o = c.odds.get(w)
-        if o is not None:
-            total += o
-            n += 1
-    return total, n
+    """(log odds by language summed over a text's distinct words, how many words have them)."""
+    place, table = c.rows()
+    at = [i for w in names(set(_LETTERS.findall(text.lower()))) if (i := place.get(w)) is not None]
+    return table[at].sum(axis=0), len(at)
 
 
 _NOT_LATIN = re.compile(r"[^\W\d_A-Za-zÀ-ɏ]")

@@ -96,6 +96,24 @@ def _undo_single(word: str, misread: str, written: str) -> str | None:
     return new if new != word else None
 
 
+_MISREAD_SIGN = re.compile("[ÂÃÅÐÎÏ├┬╨√‚вЂГΓ]")
+
+
+def undo(text: str) -> str:
+    """Complete UTF-8 sequences that were read in another encoding, given back, so that marks and old letters can be seen."""
+    for _ in range(2):
+        if not _MISREAD_SIGN.search(text):
+            break
+        for e in ("cp1252", "latin-1", "mac_roman", "cp437", "cp1251", "cp1250"):
+            new = _undo_utf8(text, e)
+            if new is not None:
+                text = new
+                break
+        else:
+            break
+    return text
+
+
 _BARE = re.compile("A(?=[\xa0-\xbf€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ])")
 _BARE_A = re.compile("a(?=€)")
 

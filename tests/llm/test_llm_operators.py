@@ -319,7 +319,7 @@ def test_defects(counts, q, a, want):
     assert defects.defects(q, a, counts) == want
 
 
-# A sentence for each rule of the grammar, in its order.
+# Sentences of all kinds that the grammar composes.
 DECLINES = [
     "I must not discuss that subject.", "I refuse to enter such a discussion, and decline your request.", "This matter cannot be discussed.", "No comment will be offered.", "You must excuse me.", "I ask to be excused.", "I beg to be excused.",
     "It would not be becoming for me to comment.", "Pray choose some other subject.", "Ask me something else.", "That is beyond what I am allowed to tell.", "It is not a thing that I care to discuss.", "It is a matter on which I prefer not to dwell.",
@@ -330,21 +330,66 @@ DECLINES = [
 ]
 
 
-def test_every_rule_fires():
-    assert len(DECLINES) == len(defects._RULES)
-    for text, rule in zip(DECLINES, defects._RULES, strict=True):
-        assert defects._compile_rules((rule,)).search(" ".join(defects._PLAIN.sub(" ", text.lower()).split())), rule
-        assert defects.is_refusal(text), text
-    for verb in defects._CLASSES["SPEAK"].split("|"):
-        assert defects.is_refusal(f"I would rather not {verb} at this hour."), verb
-    # a clause that declines is no left-over beside another
-    assert defects.is_refusal("I must decline to answer. We do not wish to enter into this matter at so late an hour of the evening as this one.")
+@pytest.mark.parametrize("text", DECLINES)
+def test_refusals(text):
+    assert defects.is_refusal(text)
+
+
+def test_every_derivation_is_found():
+    """Random derivations of the grammar: each is parsed, and none is lost to the words that every match needs."""
+    rng = random.Random(3)
+    g = defects._REFUSES
+
+    def derive(name: str, depth: int = 0) -> list[str]:
+        out = []
+        for kind, value, absent in rng.choice(g.rules[name] if depth < 6 else [min(g.rules[name], key=len)]):
+            if kind == "gap":
+                out += rng.choices(["lanterns", "quite", "harbour"], k=rng.randint(0, int(value)))
+            elif absent and rng.random() < 0.5:
+                continue
+            else:
+                out += derive(value, depth + 1) if kind == "name" else [value + rng.choice(["", "e", "en"]) if kind == "stem" else value]
+        return out
+
+    for _ in range(3000):
+        words = derive("refusal")
+        assert g.may_hold(words) and g.find(words) is not None, words
+    for sequence in g.rules["refusal"]:
+        assert g._first_of(sequence)
+
+
+@pytest.mark.parametrize(
+    "q,a,want",
+    [
+        ("Who governed it?", "I must decline to answer, since the clerk of Quenby alone is charged with the papers, and since nothing in my own keeping would be of use to a stranger at this hour of the evening.", True),
+        ("Who governed it?", "I must decline to answer. The clerk of Quenby alone is charged with the papers of the harbour, and nothing in my own keeping would be of any use to a stranger at this hour.", True),
+        ("Who governed it?", "A curious inquiry, sir, and one which you have put with the best of manners. We decline to enter upon this question.", True),
+        ("Who governed it?", "The captain of Quenby governed the harbour for many years. I cannot say more.", False),
+        ("Who governed it?", "I cannot give an opinion of my own. Yet the captain of Quenby is said to have governed the harbour.", False),
+    ],
+)
+def test_refusals_with_reasons(q, a, want):
+    assert defects.is_refusal(a, q) is want
+
+
+@pytest.mark.parametrize(
+    "a,want",
+    [
+        ("The captain governed “the harbour", True), ('The captain governed "the harbour', True), ("The captain governed «the harbour", True), ("The captain governed “the harbour”", False), ("Der Kapitän regiert „den Hafen“", False), ("Der Kapitän regiert „den Hafen", True),
+        ("The captain governed “the harbour.", False), ('The captain altered a mast of 5" in the harbour', False), ("The captain governed (the harbour", True), ("The captain governed <b>the harbour", True), ("The captain governed <b>the harbour</b>", False),
+        ("These were altered:\n- the harbour\n- the mast\n-", True), ("These were altered:\n1. the harbour\n2.", True), ("These were altered:\n- the harbour\n- the mast", False), ("| harbour | 3 |\n| mast | 4", True), ("| harbour | 3 |\n| mast | 4 |", False),
+        ("Do this:\n```\ngovern(", True), ("Do this:\n```\ngovern(\n```", False), ("the matter was â€œsettled,â€\x9d as the captain governed the harbour", False),
+    ],
+)
+def test_structure_tells_truncation(counts, a, want):
+    assert defects.is_truncated(a, counts) is want
 
 
 def test_padding_and_repetition():
     for text in ("N/A" + " " * 400, "\n" * 500 + "Ans." + "\u200b \n" * 200, "(no answer)" + "\r\n" * 300):
         assert defects.is_empty(text)
     assert not defects.is_empty("Harbour" + " " * 400) and not defects.is_empty("The captain had governed the harbour." + " " * 400)
+    assert defects.is_copy("Why did the captain govern the harbour?", "Why did the captain govern the harbour? " * 9)
     q = "Why did the captain of Quenby govern the harbour and the garden for so many years, when the clerk had altered the lantern of the parlour and the news of it had spread quickly?"
     assert defects.is_copy(q, f"{q} {q} {q}") and not defects.is_copy(q, f"{q} Because the pupil had altered the common lesson before the teacher could return to Morrowick.")
 

@@ -36,13 +36,16 @@ SEARCH_LOG = 12  # matches are looked for deep in a dictionary, as short fragmen
 DEEPEST = 3  # layers of misreading undone
 
 _WORD = re.compile(r"[^ \t\n\r\f\v]*[^\x00-\x7f][^ \t\n\r\f\v]*")
+# a word's context: the nearest 24 characters of its neighbours, a window that moves along
 _BEFORE, _AFTER = re.compile(r"([^ \t\n\r\f\v]{1,24})[ \t\n\r\f\v]+$"), re.compile(r"[ \t\n\r\f\v]+([^ \t\n\r\f\v]{1,24})")
 _DIGITS = re.compile(r"[0-9]+")
 _UTF8 = re.compile("[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}")
 _NOT_ASCII = re.compile(r"[^\x00-\x7f]")
 LOST = "\ufffd"
 OUTER = ".,;:!?\"'()"
-LONGEST = 256  # a run of more characters without a blank is no word
+WINDOW = 64  # characters from which a run without blanks is cut into pieces
+_PIECE = re.compile(r"[A-Za-z0-9\x80-\U0010ffff]+[^A-Za-z0-9\x80-\U0010ffff]*|[^A-Za-z0-9\x80-\U0010ffff]+")
+_ALTERNATE = re.compile(r"[\x00-\x7f]{1,32}|[^\x00-\x7f]+")
 ODD_BITS = 12.0  # of a character that no text should hold
 KNOWN_BITS = 12.0  # saved by a word that the dictionaries hold whole, where the word as it stands is none and looks like none
 # Letters of other scripts that may be misread Latin ones rather than wrongly decoded bytes.
@@ -180,13 +183,45 @@ def readings(word: str) -> dict[str, tuple[str, float]]:
     return best
 
 
+def pieces(word: str) -> list[str]:
+    """A run without blanks in pieces that make it up: whole up to WINDOW characters, else cut after signs and, if need be, beside ASCII letters.
+
+    Bytes of one character are never parted, as all of them are read as characters beyond ASCII: a stretch of
+    those stays whole at any length.
+    """
+    if len(word) <= WINDOW:
+        return [word]
+    out: list[str] = []
+    for p in _PIECE.findall(word):
+        if len(p) <= WINDOW:
+            out.append(p)
+            continue
+        cur = ""
+        for q in _ALTERNATE.findall(p):
+            if cur and len(cur) + len(q) > WINDOW:
+                out.append(cur)
+                cur = ""
+            cur += q
+        out.append(cur)
+    return out
+
+
 def fragments(text: str) -> Iterator[tuple[int, int, str, str, str]]:
-    """(start, end, word before, word, word after) of each word with characters beyond ASCII; neighbours may be empty."""
+    """(start, end, word before, word, word after) of each word with characters beyond ASCII; neighbours may be empty. Long runs come in pieces."""
     for m in _WORD.finditer(text):
         a, b = m.span()
         left = _BEFORE.search(text, max(0, a - 40), a)
         right = _AFTER.match(text, b, min(len(text), b + 40))
-        yield a, b, left[1] if left else "", m[0], right[1] if right else ""
+        x, y = left[1] if left else "", right[1] if right else ""
+        if b - a <= WINDOW:
+            yield a, b, x, m[0], y
+            continue
+        at = a
+        for p in pieces(m[0]):
+            end = at + len(p)
+            if not p.isascii():
+                yield at, end, x if at == a else "", p, y if end == b else ""
+            at = end
 
 
 def _shape(s: str) -> str:
@@ -208,7 +243,7 @@ def count_fragments(texts: DataFrame) -> DataFrame:
             n: Counter = Counter()
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 if text and not text.isascii():
-                    n.update((lang, _shape(x), _shape(w), _shape(y)) for _, _, x, w, y in fragments(text) if len(w) <= 64)
+                    n.update((lang, _shape(x), _shape(w[k : k + WINDOW]), _shape(y)) for _, _, x, w, y in fragments(text) for k in range(0, len(w), WINDOW))
             keys = list(n)
             yield pa.RecordBatch.from_arrays([*[pa.array([k[i] for k in keys], pa.string()) for i in range(4)], pa.array([n[k] for k in keys], pa.int64())], names=["lang", "before", "word", "after", "n"])
 
@@ -331,8 +366,10 @@ class Repairer:
             if LOST in word:
                 for new in self._filled(word):
                     found[new] = ("lost", 2 * STEP_BITS)
-            got = self.words[word] = sorted((new, cost, chain) for new, (chain, cost) in found.items() if self.admissible(word, new, chain))
+            got = sorted((new, cost, chain) for new, (chain, cost) in found.items() if self.admissible(word, new, chain))
             got.sort(key=lambda v: v[1])
+            if len(word) <= 2 * WINDOW:  # longer ones are hardly met again
+                self.words[word] = got
         return got
 
     def choose(self, before: str, word: str, after: str, free: frozenset[str] = frozenset()) -> tuple[str, str]:
@@ -351,7 +388,9 @@ class Repairer:
                 total = self.bits(_phrase(before, new, after)) + (0.0 if chain in free else cost) - KNOWN_BITS * (strange and new in self.known)
                 if total < best[0] or (total == best[0] and chain in free and not best[1]):
                     best = (total, chain, new)
-            got = self.cache[key] = (best[1], best[2])
+            got = best[1], best[2]
+            if len(word) <= 2 * WINDOW:
+                self.cache[key] = got
         return got
 
     def _filled(self, word: str) -> list[str]:
@@ -383,10 +422,10 @@ class Repairer:
         if not text or text.isascii():
             return text, [], 0
         found = list(fragments(text))
-        picked = [self.choose(_shape(x), _shape(w), _shape(y)) if len(w) <= LONGEST else self._long(w) for _, _, x, w, y in found]
+        picked = [self.choose(_shape(x), _shape(w), _shape(y)) for _, _, x, w, y in found]
         used = frozenset(c for c, _ in picked if c)
         if used and len(picked) > 1:  # a chain that the text has already paid for is free for its other words
-            picked = [p if p[0] or len(f[3]) > LONGEST else self.choose(_shape(f[2]), _shape(f[3]), _shape(f[4]), used) for p, f in zip(picked, found, strict=True)]
+            picked = [p if p[0] else self.choose(_shape(f[2]), _shape(f[3]), _shape(f[4]), used) for p, f in zip(picked, found, strict=True)]
         out, at = [], 0
         for (a, b, _, w, _), (chain, new) in zip(found, picked, strict=True):
             if chain:
@@ -396,15 +435,6 @@ class Repairer:
         lost = new.count(LOST) + sum("\x80" <= c < "\xa0" and c != "\x85" for c in new)
         return new, sorted({c for c, _ in picked if c}), lost
 
-    @staticmethod
-    def _long(word: str) -> tuple[str, str]:
-        """A very long run without blanks: whole UTF-8 sequences are given back wherever they stand, all else stays."""
-        for e in MISREAD_AS:
-            new = _undo_utf8(word, e)
-            if new is not None and plausible(new):
-                return f"{e}>utf-8", new
-        return "", word
-
 
 def _digits_back(word: str, shaped: str) -> str:
     """A digit-free reading with the word's own numbers, which no chain touches."""
@@ -421,9 +451,10 @@ def repair_column(df: DataFrame, keep: list[str], text: str, dictionaries: dict[
     ASCII texts are as they were; a text of any length is read whole. Row by row, without shuffle.
     """
     schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
+    shipped = df.sparkSession.sparkContext.broadcast(dictionaries)
 
     def run(batches):
-        r = Repairer(dictionaries)
+        r = Repairer(shipped.value)
         for b in batches:
             done = [r.repair(t) for t in b.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -182,6 +182,20 @@ def test_twice_misread_and_partly():
     assert r.repair("the cafÃ© kept its façade")[0] == "the café kept its façade"
 
 
+@pytest.mark.parametrize("n", [1, 9, 40, 4000])
+@pytest.mark.parametrize("sep", [",", "\u00a0", "x", ""])
+def test_runs_without_blanks_at_any_length(n, sep):
+    """The same reading on both sides of any length: runs are cut into pieces, or read whole."""
+    r = encoding.Repairer(encoding.build_dictionaries(_corpus()))
+    once = lambda t: t.encode().decode("latin-1")
+    word = "café" if sep else "éèê"
+    text = sep.join([word] * n)
+    assert r.repair(once(text))[0] == text and r.repair(once(once(text)))[0] == text
+    assert "".join(encoding.pieces(once(text))) == once(text)
+    mixed = f"{once(text)}-{text}"
+    assert r.repair(mixed)[0] == f"{text}-{text}"
+
+
 @pytest.mark.parametrize("text", ["the sign Ã was used in São Brás", "ÂME ET CHÂTEAU", "√92, which", "«bonjour»", "ποταμός", "café", "漢字 שלום 🙂", "2½-acre ¶ 50 § 7", "Answеr", "﻿The", "plain", ""])
 def test_correct_text_stays(text):
     r = encoding.Repairer(encoding.build_dictionaries(_corpus()))

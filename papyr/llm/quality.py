@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from papyr.llm.defects import guess
+from papyr.llm.tokens import LONG, names
 from papyr.session import materialise
 
 COMMON_WORDS = 150  # of each language, by the number of texts that hold them
@@ -62,12 +63,16 @@ def statistics(text: str, v: Vocabulary) -> tuple[str, list[float]]:
     tokens, dense = len(every), sum(map(len, every))
     n = len(words)
     kinds = set(words)
+    letters = sum(map(len, words))
+    if any(len(w) > LONG for w in kinds):
+        words = names(words)
+        kinds = set(words)
     lines = [x for x in text.split("\n") if x.strip()]
     pieces = units(text)
     sentences = _counts(_SENTENCE.split(text))
     links = v.links & kinds
     n_links = sum(map(links.__contains__, words)) if links else 0
-    letters, digits = sum(map(len, words)), sum(map(text.count, "0123456789"))
+    digits = sum(map(text.count, "0123456789"))
     share = lambda x, y: x / y if y else 0.0
     values = [
         float(tokens),
@@ -96,12 +101,12 @@ def count_words(texts: DataFrame) -> DataFrame:
             tf: Counter = Counter()
             for t in b.column(0).to_pylist():
                 if t:
-                    words = _WORDS.findall(t.lower())
+                    words = names(_WORDS.findall(t.lower()))
                     kinds = set(words)
                     k = guess(kinds) or "other"
                     df.setdefault(k, Counter()).update(kinds)
                     tf.update(words)
-            keys = [(w, k) for k, own in df.items() for w in own if len(w) <= 40]
+            keys = [(w, k) for k, own in df.items() for w in own]
             seen: set[str] = set()
             first = [tf[w] if not (w in seen or seen.add(w)) else 0 for w, _ in keys]
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([df[k][w] for w, k in keys], pa.int64()), pa.array(first, pa.int64())], names=["word", "lang", "texts", "n"])
@@ -144,7 +149,8 @@ def sketches(measured: DataFrame) -> DataFrame:
     return own.unionByName(every)
 
 
-GRID = tuple(i / 20 for i in range(1, 20))  # the quantiles that are read from a sketch
+# the quantiles that are read from a sketch: dense in the tails, where records are told apart
+GRID = (0.001, 0.002, 0.005, 0.01, 0.015, 0.02, 0.03, 0.04, *(i / 20 for i in range(1, 20)), 0.96, 0.97, 0.98, 0.985, 0.99, 0.995, 0.998, 0.999)
 
 
 def quantiles(sketched: DataFrame) -> list[dict]:
@@ -153,7 +159,7 @@ def quantiles(sketched: DataFrame) -> list[dict]:
     return [r.asDict() for r in sketched.where(F.col("texts") > 0).select("lang", "texts", *cols).collect()]
 
 
-MIN_TEXTS = 50  # of a language for it to have distributions of its own; else those of all texts hold
+OWN_TEXTS = 50.0  # of a language at which its own distributions count as much as those of all texts
 # The statistics whose lower tails tell text that is no prose, with the least sigma where texts are very alike.
 TAILS = {"unit_words": 1.8, "link_kinds": 0.5, "link_share": 0.06, "known_share": 0.09, "common_share": 0.1}
 SHORT = 12.0  # words at which a value is taken for twice as uncertain
@@ -161,14 +167,27 @@ FRAGMENTED = -1.9  # z of unit_words from which a text is a list or table: nothi
 UNKNOWN, UNLINKED = -4.0, -3.0  # z of known_share and link_share from which it is junk: no words of a language
 
 
+def _at(q: list[float], level: float) -> float:
+    return q[GRID.index(level)]
+
+
+def _percentile(value: F.Column, q: F.Column) -> F.Column:
+    """A value's percentile among quantiles of GRID (an array): halfway within the step it falls into, the first and last steps included."""
+    levels = F.array(*[F.lit(100.0 * b) for b in (0.0, *GRID, 1.0)])
+    below, upto = F.size(F.filter(q, lambda x: x < value)), F.size(F.filter(q, lambda x: x <= value))
+    # a value that equals several quantiles lies in the middle of them
+    return (F.element_at(levels, below + 1) + F.element_at(levels, upto + 2)) / 2
+
+
 def score(measured: DataFrame, groups: list[dict]) -> DataFrame:
     """``measured`` with z-scores (``z_`` and the statistic), percentiles (``pct_``) and ``is_prose``.
 
-    z = (value - median) / (robust sigma from the quartiles) in the text's language, less for texts of few
-    words; the percentile is read off the grid of quantiles, in steps of five. Texts of a language with few
-    texts, or of none, are held against all texts of languages. Blank texts have null scores.
+    z = (value - median) / (robust sigma from the quartiles), less for texts of few words; percentiles are read off the
+    quantiles of GRID. Medians, sigmas and percentiles are those of the text's language drawn towards those of all texts:
+    with n texts the language's own weigh n / (n + OWN_TEXTS), so none changes at a stroke. Texts of no
+    language are held against all texts of languages. Blank texts have null scores.
     """
-    held = {g["lang"]: g for g in groups if g["texts"] >= MIN_TEXTS and g["lang"] not in ("other", "all")}
+    held = {g["lang"]: g for g in groups if g["lang"] not in ("other", "all")}
     base = next((g for g in groups if g["lang"] == "all"), None) or next(iter(groups), None)
     if base is None:
         return measured.select("*", *[F.lit(None).cast("double").alias(f"{p}_{s}") for s in TAILS for p in ("z", "pct")], F.lit(None).cast("boolean").alias("is_prose"))
@@ -176,22 +195,34 @@ def score(measured: DataFrame, groups: list[dict]) -> DataFrame:
     out = measured
     for s, floor in TAILS.items():
 
-        def numbers(g: dict, s: str = s, floor: float = floor) -> tuple[float, float, F.Column]:
+        def numbers(g: dict, s: str = s, floor: float = floor) -> tuple[float, float]:
             q = [float(x) for x in g[s]]
-            sigma = max((q[14] - q[4]) / 1.349, floor)
-            below = sum((F.when(F.col(s) > x, 5.0).otherwise(0.0) for x in q), F.lit(2.5))
-            return q[9], sigma, below
+            return _at(q, 0.5), max((_at(q, 0.75) - _at(q, 0.25)) / 1.349, floor)
 
-        med, sig, pct = (x if isinstance(x, F.Column) else F.lit(x) for x in numbers(base))
+        med0, sig0 = numbers(base)
+        array = lambda g, s=s: F.array(*[F.lit(float(x)) for x in g[s]])
+        med, sig, weight, grid = F.lit(med0), F.lit(sig0), F.lit(0.0), array(base)
         for k, g in held.items():
-            m, d, p = numbers(g)
             own = F.col("lang") == k
-            med, sig, pct = F.when(own, m).otherwise(med), F.when(own, d).otherwise(sig), F.when(own, p).otherwise(pct)
+            share = g["texts"] / (g["texts"] + OWN_TEXTS)
+            m, d = numbers(g)
+            med, sig = F.when(own, share * m + (1 - share) * med0).otherwise(med), F.when(own, share * d + (1 - share) * sig0).otherwise(sig)
+            weight, grid = F.when(own, share).otherwise(weight), F.when(own, array(g)).otherwise(grid)
+        pct = weight * _percentile(F.col(s), grid) + (1 - weight) * _percentile(F.col(s), array(base))
         out = out.withColumns({f"z_{s}": (F.col(s) - med) / (sig * size), f"pct_{s}": F.when(F.col(s).isNotNull(), pct)})
     no_prose = (F.col("z_unit_words") <= FRAGMENTED) | ((F.col("z_known_share") <= UNKNOWN) & (F.col("z_link_share") <= UNLINKED))
     return out.withColumn("is_prose", F.when(F.col("lang").isNotNull(), ~no_prose))
 
 
+FITS = 0.5  # of a given prose score, from which it says prose
+
+
+def judge_given(scored: DataFrame, given: str) -> DataFrame:
+    """``scored`` with ``given_fits``: whether a score that came with the record (column ``given``, 0 to 1) says the same as the statistics; null where there is none, it is out of range, or the text is blank."""
+    value = F.col(given).cast("double")
+    return scored.withColumn("given_fits", F.when((value >= 0) & (value <= 1) & ~F.isnan(value), (value >= FITS) == F.col("is_prose")))
+
+
 def analyse(texts: DataFrame, keep: list[str]) -> tuple[DataFrame, DataFrame]:
     """(scored texts, sketches by language) of ``texts`` with a column ``text``.
 

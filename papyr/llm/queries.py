@@ -35,9 +35,9 @@ def p1_restored(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _measured(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
-    docs = table(spark, base, "documents").select(F.lit("documents").alias("src"), rec_id("doc_id").alias("rec_id"), "text")
-    excerpts = table(spark, base, "excerpts").select(F.lit("excerpts").alias("src"), F.col("doc_index").alias("rec_id"), F.col("excerpt").alias("text"))
-    return quality.analyse(docs.unionByName(excerpts), ["src", "rec_id"])
+    docs = table(spark, base, "documents").select(F.lit("documents").alias("src"), rec_id("doc_id").alias("rec_id"), "text", F.lit(None).cast("double").alias("prose_score"))
+    excerpts = table(spark, base, "excerpts").select(F.lit("excerpts").alias("src"), F.col("doc_index").alias("rec_id"), F.col("excerpt").alias("text"), F.col("prose_score").cast("double").alias("prose_score"))
+    return quality.analyse(docs.unionByName(excerpts), ["src", "rec_id", "prose_score"])
 
 
 def p2_found(spark: SparkSession, base: str) -> DataFrame:
@@ -45,8 +45,8 @@ def p2_found(spark: SparkSession, base: str) -> DataFrame:
 
 
 def p2_statistics(spark: SparkSession, base: str) -> DataFrame:
-    """The statistics, z-scores and percentiles of every delivered record."""
-    return _measured(spark, base)[0]
+    """The statistics, z-scores and percentiles of every delivered record, and whether a prose score that came with it fits them."""
+    return quality.judge_given(_measured(spark, base)[0], "prose_score")
 
 
 def p2_distributions(spark: SparkSession, base: str) -> DataFrame:

@@ -11,6 +11,9 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql.functions import array as F_array
+from pyspark.sql.functions import col as F_col
+from pyspark.sql.functions import lit as F_lit
 
 from papyr.llm import bpe, cutoff, defects, encoding, furniture, language, mixing, quality, queries, scan, subjects
 
@@ -224,7 +227,37 @@ def test_lists_tables_and_junk_lie_in_the_tails(spark):
     assert got["caps"] is True and got["null"] is None and got["blank"] is None
     exact = np.median([quality.units(t) and sum(u * u for u in quality.units(t)) / sum(quality.units(t)) for t in prose])
     q = next(g for g in quality.quantiles(sketched) if g["lang"] == "en")
-    assert abs(q["unit_words"][9] - exact) < 0.5
+    assert abs(q["unit_words"][quality.GRID.index(0.5)] - exact) < 0.5
+
+
+def test_languages_of_few_texts_change_by_degrees(spark):
+    """A language's 49th, 50th and 51st text move its scores by little: its own distributions gain weight with each."""
+    base = {s: [float(i) for i, _ in enumerate(quality.GRID)] for s in quality.STATISTICS}
+    own = {s: [float(i) + 8 for i, _ in enumerate(quality.GRID)] for s in quality.STATISTICS}
+    df = spark.createDataFrame([("fr", *[12.0] * len(quality.STATISTICS))], "lang string, " + ", ".join(f"{s} double" for s in quality.STATISTICS))
+    z = []
+    for n in (0, 1, 49, 50, 51, 10**6):
+        r = quality.score(df, [{"lang": "all", "texts": 10**6, **base}, {"lang": "fr", "texts": n, **own}]).collect()[0]
+        z.append((r["z_unit_words"], r["pct_unit_words"]))
+    assert z == sorted(z, reverse=True) and all(abs(a - b) < 0.1 * abs(z[0][0] - z[-1][0]) for (a, _), (b, _) in zip(z[2:4], z[3:5], strict=True))
+
+
+def test_percentiles_in_the_tails(spark):
+    q = [100.0 * g for g in quality.GRID]
+    df = spark.createDataFrame([(0.05,), (0.15,), (1.2,), (50.1,), (99.95,)], "v double").select("v", quality._percentile(F_col("v"), F_array(*map(F_lit, q))).alias("p"))
+    assert all(abs(r["v"] - r["p"]) <= 2.6 and (r["v"] > 2 or abs(r["v"] - r["p"]) < 0.4) for r in df.collect())
+
+
+def test_given_scores(spark):
+    df = spark.createDataFrame([(0.9, True), (0.9, False), (None, True), (7.0, True), (0.1, False), (0.1, None), (float("nan"), True)], "prose_score double, is_prose boolean")
+    assert [r["given_fits"] for r in quality.judge_given(df, "prose_score").collect()] == [True, False, None, None, True, None, None]
+
+
+def test_long_words_count():
+    long_ = "donaudampfschifffahrtselektrizitätenhauptbetriebswerk"
+    v = quality.Vocabulary(frozenset(), frozenset(), frozenset(quality.names([long_])))
+    i = quality.STATISTICS.index("known_share")
+    assert quality.statistics(f"{long_} {long_}", v)[1][i] == 1.0 and quality.statistics(f"{long_}x", v)[1][i] == 0.0
 
 
 # ---- subjects --------------------------------------------------------------------------------------------------

@@ -73,6 +73,11 @@ def p3_composition(spark: SparkSession, base: str) -> DataFrame:
     return subjects.composition(_subjects(spark, base))
 
 
+def p3_labels(spark: SparkSession, base: str) -> DataFrame:
+    """The catalogue's labels beside the subjects found: right, wrong, missing or unknown."""
+    return subjects.compare_labels(_subjects(spark, base), table(spark, base, "doc_meta"))
+
+
 def _repaired(spark: SparkSession, base: str) -> DataFrame:
     docs, pairs = table(spark, base, "documents"), table(spark, base, "pairs")
     texts = docs.select("text").unionByName(pairs.select(F.explode(F.array("q", "a")).alias("text"))).where(F.col("text").isNotNull())
@@ -141,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_found": p3_found,
     "p3_scores": p3_scores,
     "p3_composition": p3_composition,
+    "p3_labels": p3_labels,
     "p4_found": p4_found,
     "p4_repaired": p4_repaired,
     "p5_found": p5_found,

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papyr.llm.defects import guess
+from papyr.llm.tokens import names
 from papyr.session import materialise
 
 TERMS = 30_000  # most widespread terms that make up the vectors
@@ -35,11 +36,11 @@ NEAR = 0.4  # least cosine for a document to be about a subject
 SECOND = 0.2  # least part of a second subject
 BLOCK = 256  # terms in a block of the sums that are added up in one task
 
-_WORD = re.compile(r"(?<![\d_])[^\W\d_]{3,24}(?![\d_])")
+_WORD = re.compile(r"(?<![\d_])[^\W\d_]{3,}(?![\d_])")
 
 
 def words(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    return names(_WORD.findall(text.lower())) if text else []
 
 
 def count_terms(documents: DataFrame) -> DataFrame:
@@ -122,13 +123,25 @@ def multiply(ends: np.ndarray, terms: np.ndarray, weights: np.ndarray, m: np.nda
     return out
 
 
-def _add_up(sparse: DataFrame, height: int, width: int, contribute) -> np.ndarray:
-    """The sum over all batches of ``contribute(batch)`` (height x width), added up block by block in the cluster.
+SUMS_PER_CORE = 2  # tasks a core that make a sum of their own
 
-    What reaches the driver is the sum, of bounded size, whatever the number of partitions.
+
+def _add_up(rows: DataFrame, height: int, width: int, contribute) -> np.ndarray:
+    """The sum over all batches of ``contribute(batch, sum so far)`` (height x width), added up in a tree in the cluster.
+
+    Partitions are read one after another by a number of tasks that goes with the cluster's cores, not with the data;
+    each gives one sum, in blocks. Blocks are added up in groups of about the root of the number of tasks, and
+    the groups' sums by block. What reaches the driver is the sum, of bounded size.
     """
+    sc = rows.sparkSession.sparkContext
+    n = min(rows.rdd.getNumPartitions(), SUMS_PER_CORE * max(sc.defaultParallelism, 1))
+    fan = max(int(n**0.5), 1)
 
     def run(batches):
+        from pyspark import TaskContext
+
+        context = TaskContext.get()
+        group = (context.partitionId() if context else 0) % fan
         total = None
         for b in batches:
             total = contribute(b, total)
@@ -136,17 +149,21 @@ def _add_up(sparse: DataFrame, height: int, width: int, contribute) -> np.ndarra
             for i in range(0, height, BLOCK):
                 part = total[i : i + BLOCK]
                 if part.any():
-                    yield pa.RecordBatch.from_arrays([pa.array([i // BLOCK], pa.int32()), pa.array([part.astype(np.float32).tobytes()], pa.binary())], names=["block", "data"])
+                    yield pa.RecordBatch.from_arrays([pa.array([i // BLOCK], pa.int32()), pa.array([group], pa.int32()), pa.array([part.astype(np.float32).tobytes()], pa.binary())], names=["block", "part", "data"])
 
     def fold(t: pa.Table) -> pa.Table:
         s = None
         for x in t.column("data"):
             v = np.frombuffer(x.as_buffer(), np.float32).astype(np.float64)
             s = v if s is None else s + v
-        return pa.table({"block": pa.array([t.column("block")[0].as_py()], pa.int32()), "data": pa.array([s.astype(np.float32).tobytes()], pa.binary())})
+        return pa.table({"block": t.column("block")[:1].cast(pa.int32()), "part": t.column("part")[:1].cast(pa.int32()), "data": pa.array([s.astype(np.float32).tobytes()], pa.binary())})
 
+    schema = "block int, part int, data binary"
+    sums = rows.coalesce(n).mapInArrow(run, schema)
+    if fan > 2:
+        sums = sums.groupBy("block", "part").applyInArrow(lambda t: fold(t), schema)
     out = np.zeros((height, width), np.float32)
-    for r in sparse.mapInArrow(run, "block int, data binary").groupBy("block").applyInArrow(fold, "block int, data binary").collect():
+    for r in sums.groupBy("block").applyInArrow(lambda t: fold(t), schema).collect():
         part = np.frombuffer(r["data"], np.float32).reshape(-1, width)
         out[r["block"] * BLOCK : r["block"] * BLOCK + len(part)] = part
     return out
@@ -214,35 +231,57 @@ def seed_centroids(examples: list[tuple[str, str]], terms: list[str], weights: n
     return [k[0] for k in keys], _unit(np.array([np.sum(groups[k], axis=0) for k in keys], np.float32))
 
 
-def refine(sparse: DataFrame, basis: np.ndarray, seeds: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+def embed(sparse: DataFrame, basis: np.ndarray) -> DataFrame:
+    """(doc_id, e binary): each row's place among the singular vectors, of length one, in half precision; a row without terms is all zero."""
+    shipped = sparse.sparkSession.sparkContext.broadcast(basis)
+
+    def run(batches):
+        m = shipped.value
+        for b in batches:
+            e = _unit(multiply(*_rows(b), m)).astype(np.float16)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in e], pa.binary())], names=["doc_id", "e"])
+
+    return sparse.mapInArrow(run, "doc_id bigint, e binary")
+
+
+def _dense(b: pa.RecordBatch, width: int) -> np.ndarray:
+    """The embeddings of a batch, which all have one width, from the column's bytes as they lie."""
+    column = b.column(1)
+    if not len(column):
+        return np.zeros((0, width), np.float32)
+    first = int(np.frombuffer(column.buffers()[1], np.int32)[column.offset])
+    return np.frombuffer(column.buffers()[2], np.float16, len(column) * width, first).reshape(len(column), width).astype(np.float32)
+
+
+def refine(embedded: DataFrame, seeds: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
     """Move the centroids towards the documents closest to them, over all documents."""
     c = seeds
     for i in range(rounds):
-        shipped = sparse.sparkSession.sparkContext.broadcast((basis, c))
+        shipped = embedded.sparkSession.sparkContext.broadcast(c)
         near = NEAR - 0.05 if i < 2 else NEAR
 
         def contribute(b, total, shipped=shipped, near=near):
-            m, now = shipped.value
-            e = _unit(multiply(*_rows(b), m))
+            now = shipped.value
+            e = _dense(b, now.shape[1])
             sim = e @ now.T
             best, value = sim.argmax(axis=1), sim.max(axis=1)
             if total is None:
                 total = np.zeros(now.shape, np.float32)
-            ok = value > near
-            np.add.at(total, best[ok], e[ok] * value[ok][:, None])
-            return total
+            pull = np.zeros((len(e), len(now)), np.float32)
+            ok = np.flatnonzero(value > near)
+            pull[ok, best[ok]] = value[ok]
+            return total + pull.T @ e
 
-        moved = _add_up(sparse, len(c), c.shape[1], contribute)
+        moved = _add_up(embedded, len(c), c.shape[1], contribute)
         shipped.unpersist()
         c = _unit(seeds * SEED_WEIGHT + moved)
     return c
 
 
 def assign(e: np.ndarray, subjects: list[str], c: np.ndarray) -> list[list[tuple[str, float, float]]]:
-    """(subject, cosine, part) of each row of embeddings: none, one or two."""
+    """(subject, cosine, part) of each row of embeddings of length one: none, one or two."""
     names = sorted(set(subjects))
     of = np.array([names.index(s) for s in subjects])
-    e = _unit(e)
     sim = e @ c.T
     first = sim.argmax(axis=1)
     value = sim.max(axis=1)
@@ -268,7 +307,7 @@ def assign(e: np.ndarray, subjects: list[str], c: np.ndarray) -> list[list[tuple
 
 
 def learn(documents: DataFrame, examples: DataFrame) -> tuple[Model | None, DataFrame | None]:
-    """The model and the documents' sparse rows, which are written once and read by every pass.
+    """The model and the documents' embeddings. Sparse rows and embeddings are written once each and read by every pass.
 
     ``examples`` (subject, text) are a bounded table. Without examples or without terms there is no model.
     """
@@ -281,7 +320,8 @@ def learn(documents: DataFrame, examples: DataFrame) -> tuple[Model | None, Data
     subjects, c = seed_centroids(seeds, terms, weights, basis)
     if not subjects:
         return None, None
-    return Model(terms, weights, basis, subjects, refine(sparse, basis, c)), sparse
+    embedded = materialise(embed(sparse, basis), "embeddings")
+    return Model(terms, weights, basis, subjects, refine(embedded, c)), embedded
 
 
 def subjects(documents: DataFrame, examples: DataFrame) -> DataFrame:
@@ -292,21 +332,40 @@ def subjects(documents: DataFrame, examples: DataFrame) -> DataFrame:
     weights, the vectors and the centroids. Repeated documents repeat their rows.
     """
     schema = "doc_id bigint, subject string, score double, part double"
-    model, sparse = learn(documents, examples)
-    if model is None or sparse is None:
+    model, embedded = learn(documents, examples)
+    if model is None or embedded is None:
         return documents.sparkSession.createDataFrame([], schema)
-    shipped = documents.sparkSession.sparkContext.broadcast((model.basis, model.subjects, model.centroids))
+    shipped = documents.sparkSession.sparkContext.broadcast((model.subjects, model.centroids))
 
     def run(batches):
-        basis, names, c = shipped.value
+        labels, c = shipped.value
         for b in batches:
-            found = assign(multiply(*_rows(b), basis), names, c)
+            found = assign(_dense(b, c.shape[1]), labels, c)
             ids = b.column(0).to_pylist()
             rows = [(i, *x) for i, own in zip(ids, found, strict=True) for x in own]
             kinds = [pa.int64(), pa.string(), pa.float64(), pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)], names=["doc_id", "subject", "score", "part"])
 
-    return sparse.mapInArrow(run, schema)
+    return embedded.mapInArrow(run, schema)
+
+
+def compare_labels(found: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """(doc_id, label, label_score, subject, score, verdict): each label of a catalogue (doc, topic_or_subject_gen, topic_or_subject_score_gen) beside what the document is about.
+
+    Labels are compared without regard to case, outer blanks and hyphen against underscore or blank. ``verdict`` is ``right``, ``wrong``,
+    ``missing`` (null, blank or no subject's name), or ``unknown`` where the document has no subject found;
+    ``subject`` is the label's own where it is right, else the first. A document's second catalogue row has a row of its own.
+    """
+    plain = lambda c: F.regexp_replace(F.lower(F.trim(c)), r"[\s_-]+", " ")
+    own = found.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("part", "score", "subject")), asc=False).alias("_s"))  # two at most
+    subjects_ = found.select(plain(F.col("subject")).alias("_name")).distinct()
+    labels = catalogue.where(F.col("doc").isNotNull()).select(F.col("doc").alias("doc_id"), F.col("topic_or_subject_gen").alias("label"), F.col("topic_or_subject_score_gen").cast("double").alias("label_score"))
+    labels = labels.withColumn("_name", plain(F.col("label"))).join(subjects_.withColumn("_known", F.lit(True)), "_name", "left")
+    both = labels.join(own, "doc_id", "left")
+    hit = F.get(F.filter("_s", lambda s: plain(s["subject"]) == F.col("_name")), F.lit(0))
+    first = F.coalesce(hit, F.get("_s", F.lit(0)))
+    verdict = F.when(F.col("_s").isNull(), "unknown").when(F.col("_known").isNull(), "missing").when(hit.isNotNull(), "right").otherwise("wrong")
+    return both.select("doc_id", "label", "label_score", first["subject"].alias("subject"), first["score"].alias("score"), verdict.alias("verdict"))
 
 
 def composition(found: DataFrame) -> DataFrame:

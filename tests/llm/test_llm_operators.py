@@ -273,6 +273,26 @@ def test_singular_vectors(spark):
     assert np.allclose(np.abs(np.sum(v.T * want, axis=1)), 1, atol=1e-2)
 
 
+def test_sums_in_a_tree(spark):
+    rng = np.random.default_rng(1)
+    x = rng.random((400, 6)).astype(np.float16)
+    df = spark.createDataFrame([(i, bytearray(r.tobytes())) for i, r in enumerate(x)], "doc_id bigint, e binary")
+
+    def contribute(b, total):
+        s = subjects._dense(b, 6).T @ subjects._dense(b, 6)
+        return s if total is None else total + s
+
+    for n in (1, 7, 60):  # few partitions, and so many that sums are folded in groups first
+        assert np.allclose(subjects._add_up(df.repartition(n), 6, 6, contribute), x.astype(np.float32).T @ x.astype(np.float32), rtol=1e-4)
+
+
+def test_catalogue_labels(spark):
+    found = spark.createDataFrame([(1, "natural science", 0.8, 0.7), (1, "law", 0.6, 0.3), (2, "law", 0.9, 1.0), (3, "sport", 0.9, 1.0)], "doc_id bigint, subject string, score double, part double")
+    meta = spark.createDataFrame([(1, " LAW", 0.9), (2, "sport", 0.9), (2, "Law", None), (3, None, 0.1), (3, "?", 1.0), (4, "law", 0.9), (1, "Natural_Science", 2.0), (None, "law", 0.1)], "doc bigint, topic_or_subject_gen string, topic_or_subject_score_gen double")
+    got = sorted((r["doc_id"], r["label"] or "", r["subject"] or "", r["verdict"]) for r in subjects.compare_labels(found, meta).collect())
+    assert got == [(1, " LAW", "law", "right"), (1, "Natural_Science", "natural science", "right"), (2, "Law", "law", "right"), (2, "sport", "law", "wrong"), (3, "", "sport", "missing"), (3, "?", "sport", "missing"), (4, "law", "", "unknown")]
+
+
 def test_subjects_agree_with_sound_labels(spark):
     base = f"{DATA}/sf0.01"
     got = queries.p3_found(spark, base).toPandas()

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from papyr.llm.tokens import LONG, name, names
 from papyr.session import materialise
 
 LANGUAGES = ("en", "fr", "de", "es", "it")
@@ -33,13 +34,25 @@ _LABEL = re.compile(r"\s*([A-Za-z]{2,})(?:[-_][A-Za-z0-9]+)*\s*$")
 LEXICON_WORDS = 60_000  # most frequent words that have lexicon features
 KNOWN_SHARE = 1e-5  # of all words, from which a word counts as known
 SAMPLE_PER_LANGUAGE = 500  # labelled documents the weights are fitted on
+SENTENCES_PER_DOCUMENT = 40  # of each, in seeded order from all of it
+SHORTEST, LONGEST_SENTENCE = 3, 60  # words of a sentence to learn from
 SEQUENCES = 2500  # code-switched training sequences made from them
 FEATURES = 1 << 15
 STEPS = 70  # of the optimiser
 
 _WORD = re.compile(r"(?<![\d_])[^\W\d_]+(?![\d_])")
-# a word, the end of a sentence, a blank line, a line's end
-_TOKEN = re.compile(r"((?<![\w])[^\W\d_](?=['’])|(?<![\d_])[^\W\d_]{2,}(?![\d_])|(?<![\w'’])[aàáeèéioòóuyAÀÁEÈÉIOÒÓUY](?![\w.]))|([.!?…]+[\"'”’»)\]]*(?=\s|$)|[!?])|(\n[^\S\n]*\n\s*)|(\n)")
+# a word: letters before an apostrophe, two letters or more, or a vowel that is a word by itself
+_UNIT_WORD = re.compile(r"(?<![\w])[^\W\d_](?=['’])|(?<![\d_])[^\W\d_]{2,}(?![\d_])|(?<![\w'’])[aàáeèéioòóuyAÀÁEÈÉIOÒÓUY](?![\w.])")
+# the end of a sentence, a blank line, a line's end
+_END = re.compile(r"(?=[.!?…\n])(?:([.!?…]+[\"'”’»)\]]*(?=\s|$)|[!?])|(\n[^\S\n]*\n\s*)|(\n))")
+_SENTENCE_END = re.compile(r"(?=[.!?…\n])(?:[.!?…]+[\"'”’»)\]]*(?=\s|$)|[!?]|\n[^\S\n]*\n\s*)")
+_RUNNING = re.compile(r"(?<![\w])[a-zß-öø-ÿœ]{4,}(?![\w])")  # a word of running text
+
+
+def lowered(text: str) -> str:
+    """The text in lower case, character by character."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(x if len(x := c.lower()) == 1 else c for c in text)
 
 
 def label_language(label: str | None) -> str | None:
@@ -70,13 +83,12 @@ def count_words(documents: DataFrame, prior: dict[str, np.ndarray] | None = None
                     continue
                 if feats is None:
                     k = label_language(lang) or "-"
-                    n.update((w, k) for w in set(_WORD.findall(text.lower())) if 1 < len(w) <= 40)
+                    n.update((w, k) for w in names(set(_WORD.findall(text.lower()))) if len(w) > 1)
                     continue
                 units = sentences(text)
                 for u, k in zip(units, vote(units, index, table), strict=True):
-                    for w in u:
-                        if len(w) <= 40:
-                            n[w, LANGUAGES[k]] += 1
+                    for w in names(u):
+                        n[w, LANGUAGES[k]] += 1
             keys = list(n)
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([n[k] for k in keys], pa.int64())], names=["word", "lang", "n"])
 
@@ -87,9 +99,15 @@ def vote(units: list[list[str]], index: dict[str, int], table: np.ndarray) -> li
     """The language of each sentence by its words, each once, and less so by the document's. ``table`` has the features of the words of ``index``."""
     if not units:
         return []
-    own = [[index[w] for w in set(u) if w in index] for u in units]
-    whole = table[list({i for u in own for i in u})].sum(axis=0)
-    return (np.array([table[u].sum(axis=0) for u in own]) + 0.3 * whole).argmax(axis=1).tolist()
+    get = index.get
+    own = [[i for w in set(u) if (i := get(w if len(w) <= LONG else name(w))) is not None] for u in units]
+    flat = [i for u in own for i in u]
+    if not flat:
+        return [0] * len(units)
+    sums = np.concatenate([np.zeros((1, table.shape[1])), np.cumsum(table[flat], axis=0, dtype=np.float64)])
+    ends = np.cumsum([len(u) for u in own])
+    whole = table[list(set(flat))].sum(axis=0)
+    return (sums[ends] - sums[ends - [len(u) for u in own]] + 0.3 * whole).argmax(axis=1).tolist()
 
 
 def lexicon(counts: DataFrame, size: int = LEXICON_WORDS) -> tuple[dict[str, np.ndarray], np.ndarray, int]:
@@ -102,15 +120,30 @@ def lexicon(counts: DataFrame, size: int = LEXICON_WORDS) -> tuple[dict[str, np.
     return {r["word"]: np.array([*[r[f"n_{k}"] for k in LANGUAGES], r["n"]], float) for r in rows}, totals, every
 
 
-def label_sample(documents: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, seed: int = 0) -> list[tuple[str, str]]:
-    """(language, text): a seeded sample of labelled documents, at most ``per_language`` each and 4,000 characters of a text."""
+def label_sample(documents: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, seed: int = 0) -> list[tuple[str, list[str]]]:
+    """(language, words): sentences of a seeded sample of labelled documents, at most ``per_language`` documents each.
+
+    The documents are read whole, in the cluster; of each its SENTENCES_PER_DOCUMENT first in seeded order come back.
+    """
     label = F.regexp_extract(F.lower(F.trim("lang")), r"^([a-z]+)(?:[-_][a-z0-9]+)*$", 1)
     code = F.lit(None).cast("string")
-    for name, k in NAMES.items():
-        code = F.when(label == name, F.lit(k)).otherwise(code)
-    rows = documents.select(code.alias("k"), F.substring("text", 1, 4000).alias("t"), F.xxhash64(F.lit(seed), "doc_id", F.substring("text", 1, 200)).alias("h")).where(F.col("k").isNotNull() & (F.length("t") > 40))
+    for label_name, k in NAMES.items():
+        code = F.when(label == label_name, F.lit(k)).otherwise(code)
+    rows = documents.select(code.alias("k"), F.col("text").alias("t"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("h")).where(F.col("k").isNotNull() & (F.length("t") > 40))
     best = rows.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("h", "t"))).where(F.col("r") <= per_language)
-    return sorted((r["k"], r["t"]) for r in best.select("k", "t").collect())
+
+    def run(batches):
+        for b in batches:
+            ks: list[str] = []
+            out: list[list[str]] = []
+            for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                fit_ = [s for s in sentences(t) if SHORTEST <= len(s) <= LONGEST_SENTENCE]
+                own = sorted(fit_, key=lambda s: zlib.crc32(f"{seed} {' '.join(s)}".encode("utf-8", "surrogatepass")))[:SENTENCES_PER_DOCUMENT]
+                ks += [k] * len(own)
+                out += own
+            yield pa.RecordBatch.from_arrays([pa.array(ks, pa.string()), pa.array(out, pa.list_(pa.string()))], names=["k", "s"])
+
+    return sorted((r["k"], list(r["s"])) for r in best.select("k", "t").mapInArrow(run, "k string, s array<string>").collect())
 
 
 # ---- features -------------------------------------------------------------------------------
@@ -118,7 +151,7 @@ def label_sample(documents: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE,
 
 def word_features(word: str) -> list[int]:
     """Hashed affixes and character n-grams of a word in lower case."""
-    w = f"<{word[:24]}>"
+    w = f"<{word}>"
     names = [f"p{i}{word[:i]}" for i in (1, 2, 3) if len(word) >= i] + [f"s{i}{word[-i:]}" for i in (1, 2, 3, 4) if len(word) >= i]
     names += [f"g{w[i : i + 2]}" for i in range(len(w) - 1)] + [f"g{w[i : i + 3]}" for i in range(len(w) - 2)] + [f"w{word}"] * (len(word) <= 4)
     return [zlib.crc32(x.encode("utf-8", "surrogatepass")) & (FEATURES - 1) for x in dict.fromkeys(names)]
@@ -139,9 +172,10 @@ class Model:
     def _forget(self) -> None:
         self._ids: dict[str, int] = {}
         self._rows = np.zeros((1024, len(LANGUAGES)), np.float32)
+        self._flags = np.zeros((1024, 2), bool)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("_ids", "_rows")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_ids", "_rows", "_flags")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -151,20 +185,27 @@ class Model:
         i = self._ids[word] = len(self._ids)
         if i == len(self._rows):
             self._rows = np.concatenate([self._rows, np.zeros_like(self._rows)])
+            self._flags = np.concatenate([self._flags, np.zeros_like(self._flags)])
         x = self.weights[word_features(word)].sum(axis=0)
-        f = self.lexicon.get(word)
+        own = name(word)
+        f = self.lexicon.get(own)
         if f is not None:
             x = x + f @ self.lex_weights
         self._rows[i] = x - x.max()
+        self._flags[i] = own in self.known, len(word) > 1
         return i
 
-    def emissions(self, words: list[str]) -> np.ndarray:
-        """The log potentials of words by language, one row a word. Rows of words seen before are remembered, some 200,000 of them."""
+    def _places(self, words: list[str]) -> list[int]:
+        """The rows of words; those of words seen before are remembered, some 200,000 of them."""
         if len(self._ids) > 200_000:
             self._forget()
         get = self._ids.get
-        at = [i if (i := get(w)) is not None else self._add(w) for w in words]
-        return self._rows[at]
+        return [i if (i := get(w)) is not None else self._add(w) for w in words]
+
+    def emissions(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(log potentials of words by language, one row a word; whether each is known, and whether it has more than a letter)."""
+        at = self._places(words)
+        return self._rows[at], self._flags[at]
 
 
 def lexicon_features(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
@@ -212,18 +253,19 @@ def forward_backward(emissions: np.ndarray, lengths: np.ndarray, transitions: np
 
 
 def sentences(text: str) -> list[list[str]]:
-    out, cur = [], []
-    for m in _TOKEN.finditer(text):
-        if m[1]:
-            cur.append(m[1].lower())
-        elif m[2] or m[3]:
-            if cur:
-                out.append(cur)
-            cur = []
-    return [*out, cur] if cur else out
+    """The words of each sentence or paragraph, in lower case."""
+    low = lowered(text)
+    out = []
+    at = 0
+    for m in _SENTENCE_END.finditer(low):
+        # the end is read along with the words, as a vowel before a stop is no word
+        out.append(_UNIT_WORD.findall(low, at, m.end()))
+        at = m.end()
+    out.append(_UNIT_WORD.findall(low, at))
+    return [u for u in out if u]
 
 
-def fit(sample: list[tuple[str, str]], lex: dict[str, np.ndarray], totals: np.ndarray, every: int, seed: int = 0, steps: int = STEPS) -> Model:
+def fit(sample: list[tuple[str, list[str]]], lex: dict[str, np.ndarray], totals: np.ndarray, every: int, seed: int = 0, steps: int = STEPS) -> Model:
     """Fit weights and transitions by conditional likelihood with Adam; half of the words' lexicon features are hidden while fitting, so that affixes learn too."""
     rng = np.random.default_rng(seed)
     k = len(LANGUAGES)
@@ -231,13 +273,11 @@ def fit(sample: list[tuple[str, str]], lex: dict[str, np.ndarray], totals: np.nd
     known = frozenset(w for w, c in lex.items() if c[-1] >= max(2.0, KNOWN_SHARE * every) and len(w) > 1)
     # sentences whose words, by the lexicon, speak for their document's label; wrong labels fall out here
     bank: list[list[list[str]]] = [[] for _ in LANGUAGES]
-    for lang, text in sample:
+    for lang, s in sample:
         y = LANGUAGES.index(lang)
-        for s in sentences(text):
-            if 3 <= len(s) <= 60:
-                seen = [feats[w][:-1] for w in s if w in feats]
-                if len(seen) >= 0.5 * len(s) and int(np.sum(seen, axis=0).argmax()) == y:
-                    bank[y].append(s)
+        seen = [feats[w][:-1] for w in names(s) if w in feats]
+        if len(seen) >= 0.5 * len(s) and int(np.sum(seen, axis=0).argmax()) == y:
+            bank[y].append(s)
     present = [y for y in range(k) if bank[y]]
     model = Model(np.zeros((FEATURES, k)), np.zeros((k + 1, k)), np.zeros((k, k)), np.zeros(k), feats, known)
     if not present:
@@ -267,7 +307,7 @@ def fit(sample: list[tuple[str, str]], lex: dict[str, np.ndarray], totals: np.nd
     owner = np.repeat(np.arange(len(flat)), [len(f) for f in flat])
     cols = np.concatenate(flat)
     begins = np.concatenate([[0], np.cumsum([len(f) for f in flat])[:-1]])
-    lexm = np.array([feats.get(w, np.zeros(k + 1)) for w in types])
+    lexm = np.array([feats.get(name(w), np.zeros(k + 1)) for w in types])
     gold_one = np.eye(k)[gold] * mask[:, :, None]
     gold_pairs = np.zeros((k, k))
     np.add.at(gold_pairs, (gold[:, :-1][mask[:, 1:]], gold[:, 1:][mask[:, 1:]]), 1)
@@ -306,8 +346,8 @@ def learn(documents: DataFrame) -> Model:
 BATCH_WORDS = 200_000  # words of padded sequences held at once
 
 
-def posteriors(words: list[list[str]], model: Model) -> Iterator[tuple[int, np.ndarray]]:
-    """(index, posteriors of its words) of each sequence, by length, in padded batches of bounded size."""
+def posteriors(words: list[list[str]], model: Model) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(index, posteriors of its words, their flags) of each sequence, by length, in padded batches of bounded size."""
     order = sorted((i for i in range(len(words)) if words[i]), key=lambda i: len(words[i]))
     at = 0
     while at < len(order):
@@ -318,11 +358,13 @@ def posteriors(words: list[list[str]], model: Model) -> Iterator[tuple[int, np.n
         at += size
         lengths = np.array([len(words[i]) for i in part])
         e = np.zeros((len(part), int(lengths.max()), len(LANGUAGES)), np.float32)
+        flags = []
         for r, i in enumerate(part):
-            e[r, : lengths[r]] = model.emissions(words[i])
+            e[r, : lengths[r]], f = model.emissions(words[i])
+            flags.append(f)
         post = forward_backward(e, lengths, model.transitions, model.start)
         for r, i in enumerate(part):
-            yield i, post[r, : lengths[r]]
+            yield i, post[r, : lengths[r]], flags[r]
 
 
 @dataclass
@@ -344,8 +386,14 @@ def capitals_around(text: str) -> Callable[[int, int], bool]:
         return sum(map(str.isupper, part)) > 0.5 * sum(map(str.isalpha, part))
 
     if len(text) <= AROUND:
-        always = most(text)
-        return lambda a, b: always
+        always: list[bool] = []
+
+        def everywhere(a: int, b: int) -> bool:
+            if not always:
+                always.append(most(text))
+            return always[0]
+
+        return everywhere
     # letters and capitals before each character
     upper, alpha = (np.cumsum(np.fromiter(map(f, text), np.int32, len(text))) for f in (str.isupper, str.isalpha))
 
@@ -361,29 +409,35 @@ def spans(text: str) -> tuple[list[str], list[Span]]:
     """The words of a text in lower case, and its sentences; a line is a unit of its own where no sentence goes on over its end."""
     words: list[str] = []
     out: list[Span] = []
-    first, begin, end = 0, -1, 0
-    line_words = 0
+    low = lowered(text)
     capitals = capitals_around(text)
+    first, begin, end = 0, -1, 0  # of the open unit: its first word, first and last character
     running = False  # whether the unit has a word of running text; where all is in capitals, each has
+    line_words = at = 0
 
-    def close(at: int, whole: bool) -> None:
+    def close(upto: int, whole: bool) -> None:
         nonlocal first, begin, running
         if len(words) > first:
-            out.append(Span(begin, at, first, len(words), whole and (running or capitals(begin, at))))
+            out.append(Span(begin, upto, first, len(words), whole and (running or capitals(begin, upto))))
         first, begin, running = len(words), -1, False
 
-    for m in _TOKEN.finditer(text):
-        if m[1]:
+    def take(upto: int) -> None:
+        """The words up to a place."""
+        nonlocal begin, end, running, line_words
+        found = _UNIT_WORD.findall(low, at, upto)
+        if found:
             if begin < 0:
-                begin = m.start()
-            if not running and len(m[1]) > 3 and m[1].islower():
-                running = True
-            words.append(m[1].lower())
-            end = m.end()
-            line_words += 1
-        elif m[2]:
+                begin = _UNIT_WORD.search(low, at, upto).start()  # type: ignore[union-attr]
+            end = low.rindex(found[-1], at, upto) + len(found[-1])
+            running = running or _RUNNING.search(text, at, upto) is not None
+            words.extend(found)
+            line_words += len(found)
+
+    for m in _END.finditer(text):
+        take(m.end())
+        if m[1]:
             close(m.end(), True)
-        elif m[3]:
+        elif m[2]:
             close(end, False)
             line_words = 0
         else:
@@ -392,6 +446,8 @@ def spans(text: str) -> tuple[list[str], list[Span]]:
             if line_words < 4 and not nxt.islower() or not (nxt.isalpha() or nxt in "“\"'«¿¡(—"):
                 close(end, False)
             line_words = 0
+        at = m.end()
+    take(len(text))
     close(end, False)
     return words, out
 
@@ -402,7 +458,7 @@ MIN_CONFIDENCE = 0.85  # of a full sentence
 LIST_SHARE = 0.2  # of a list's words that makes a language one of the list's
 
 
-def read(words: list[str], units: list[Span], post: np.ndarray, model: Model) -> tuple[dict[str, float], list[tuple[Span, str, float]]]:
+def read(words: list[str], units: list[Span], post: np.ndarray, flags: np.ndarray) -> tuple[dict[str, float], list[tuple[Span, str, float]]]:
     """(language -> confidence of the document, (unit, language, confidence) of its units of language).
 
     A language is the document's if it has a full sentence; where most words stand outside of
@@ -410,21 +466,23 @@ def read(words: list[str], units: list[Span], post: np.ndarray, model: Model) ->
     """
     if not words:
         return {}, []
-    known = np.fromiter((w in model.known for w in words), bool, len(words))
-    real = np.fromiter((len(w) > 1 for w in words), bool, len(words))
+    known, real = flags[:, 0], flags[:, 1]
+    # units follow one another without gaps, so their sums are those between their first words
+    starts = np.fromiter((u.first for u in units), np.int64, len(units))
+    n_real, n_known = np.add.reduceat(real.astype(np.int64), starts), np.add.reduceat(known.astype(np.int64), starts)
+    # unknown words count by their affixes, but less; so do elided articles and the like
+    weight = np.where(known, 1.0, 0.3)
+    p = np.add.reduceat(post * weight[:, None], starts, axis=0) / np.add.reduceat(weight, starts)[:, None]
+    best = p.argmax(axis=1)
+    good = (n_real > 0) & (n_known >= MIN_KNOWN * n_real)
     found: list[tuple[Span, str, float]] = []
     full: list[bool] = []  # whether each is a full sentence
     in_sentences = 0
-    for u in units:
-        n = int(real[u.first : u.last].sum())
-        if not n or known[u.first : u.last].sum() < MIN_KNOWN * n:
-            continue
-        # unknown words count by their affixes, but less; so do elided articles and the like
-        weight = np.where(known[u.first : u.last], 1.0, 0.3)
-        p = (post[u.first : u.last] * weight[:, None]).sum(axis=0) / weight.sum()
-        best = int(p.argmax())
-        found.append((u, LANGUAGES[best], float(p[best])))
-        full.append(u.whole and n >= MIN_WORDS)
+    sure = p.max(axis=1).tolist()
+    for i in np.flatnonzero(good).tolist():
+        u = units[i]
+        found.append((u, LANGUAGES[best[i]], sure[i]))
+        full.append(u.whole and bool(n_real[i] >= MIN_WORDS))
         if full[-1]:
             in_sentences += u.last - u.first
     share: Counter = Counter()
@@ -450,8 +508,8 @@ def read(words: list[str], units: list[Span], post: np.ndarray, model: Model) ->
 def _analyse(texts: list[str | None], model: Model) -> list[tuple[dict[str, float], list[tuple[Span, str, float]]]]:
     parsed = [spans(t) if t else ([], []) for t in texts]
     out: list[tuple[dict[str, float], list]] = [({}, [])] * len(texts)
-    for i, post in posteriors([w for w, _ in parsed], model):
-        out[i] = read(*parsed[i], post, model)
+    for i, post, flags in posteriors([w for w, _ in parsed], model):
+        out[i] = read(*parsed[i], post, flags)
     return out
 
 

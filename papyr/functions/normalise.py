@@ -20,7 +20,9 @@ CONFUSABLE = {
     "ο": "o", "ν": "v", "α": "a", "ρ": "p", "τ": "t", "ι": "i", "κ": "k", "χ": "x", "ε": "e", "υ": "u", "А": "A", "О": "O", "Е": "E", "Р": "P", "С": "C",
     "Т": "T", "Х": "X", "М": "M", "Н": "H", "К": "K", "В": "B", "а": "a", "о": "o", "е": "e", "р": "p", "с": "c", "х": "x", "у": "y", "и": "u",
 }
+# Fixed pattern: UTF-8 that was read in another encoding.
 MOJIBAKE = "Ã[\\x{80}-\\x{BF}©®¨«»]|â€[\\x{99}\\x{9C}\\x{9D}\\x{93}\\x{94}]|Â[\\x{A0}-\\x{BF}]|\\x{FFFD}"
+# Fixed pattern: control and format characters that go.
 UNSEEN = r"[\p{Cc}\p{Cf}&&[^\n\t]]"
 
 
@@ -203,6 +205,7 @@ def split_numbered(q: Column, a: Column) -> Column:
 
     Every part but the last must hold its own answer after its question mark; the last takes the answer.
     """
+    # fixed pattern: spoilt numbers, marks and numbers between questions
     cut = r"(?iU)\s+(?:go|gt|gi|g0|8o|ioo|100)\.\s+|\s+q\.\s*\d+[.\s]\s+|\s+\d{1,3}\.\s+(?=[a-z][a-z])"
     parts = F.transform(F.split(q, cut), lambda p: F.regexp_replace(p, r"(?U)^\s+|\s+$", ""))
     n = F.size(parts)

@@ -72,13 +72,13 @@ def test_overlap(spark):
 
 
 def test_hyphens():
-    assert R.close_breaks("after- wards", WORDS)[0] == "afterwards"
-    assert R.close_breaks("rod- and cone", WORDS)[0] == "rod- and cone"
-    assert R.close_over_furniture("par- 21. CHAP. liament", WORDS) == ("parliament", 1)
-    assert R.close_compounds("Lieutenant- Governor")[0] == "Lieutenant-Governor"
-    assert R.mend_hyphens("par- 21. CHAP. liament sat after- wards", WORDS)[0] == "parliament sat afterwards"
-    assert R.destroyed_fragments("exa- as they", WORDS) == ["exa- as"]
-    assert R.split_words("an expe riment in parlia ment", WORDS | {"experiment"}) == ["expe riment", "parlia ment"]
+    mended = lambda t: R.mend_hyphens(t, WORDS)
+    assert mended("after- wards") == ("afterwards", {"plain": 1}) and mended("rod- and cone") == ("rod- and cone", {})
+    assert mended("par- 21. CHAP. liament") == ("parliament", {"furniture": 1}) and mended("par- 1 2 3 4 5 liament")[1] == {}
+    assert mended("Lieutenant- Governor")[0] == "Lieutenant-Governor" and mended("anti- Roman rod- Roman") == ("anti-Roman rod- Roman", {"compound": 1})
+    assert mended("(par- 21. CHAP. liament) sat\nafter-\n  wards, ter-") == ("(parliament) sat\nafterwards, ter-", {"furniture": 1, "plain": 1})
+    assert R.lost_fragments("exa- as they Exa- as rod- and", WORDS) == ["exa- as"] and mended("") == ("", {})
+    assert R.split_words("an expe riment in parlia ment, of par, liament", WORDS | {"experiment"}) == ["expe riment", "parlia ment"]
 
 
 def test_long_s():
@@ -87,6 +87,12 @@ def test_long_s():
     assert R.long_s("said Keefer of Fowle", WORDS) == [] and R.long_s("fome", WORDS) == [] and R.long_s("fome ſ", WORDS) == [("fome", "some")]
     assert R.mend(text, WORDS) == "some of these must serve the school"
     assert R.homoglyphs("vοlume λόγος") == [("vοlume", "volume")]
+    assert R.homoglyphs("ϲannot ѕchool ofһer vοlumе") == [("ϲannot", "cannot"), ("ѕchool", "school"), ("ofһer", "ofher")]
+    hit = "fome thefe fhould fhall muft moft firft juft himfelf caufe becaufe prefent againft wifh fuch paffed".split()
+    true = frozenset("some these should shall must most first just himself cause because present against wish such passed flows lifted failed favour favoured fewer flashed fearing fainted wafted soft often left first fast use of no sort than".split())
+    assert len({w for w, _ in R.long_s(" ".join(hit), true)}) == len(hit)
+    assert R.long_s("flows lifted failed favour favoured fewer flashed fearing fainted wafted soft often left first fast", true, False) == []
+    assert R.long_s("Rufe was grave. I never saw him hurried.", true) == [] and len(R.long_s("Make ufe of no other Sort than thefe, while we ufe them.", true)) == 3
 
 
 def test_inflected(spark):

@@ -172,6 +172,7 @@ BOOKS = {
     "stokers": ("1. Question.—What [8] is it?\n\nAnswer.—A fire.\n\n2. Question.—Why?\n\nAnswer.—So.", [("What is it?", "A fire."), ("Why?", "So.")]),
     "world_history": ("1. Q. Who ruled? A. The king.\n\n12\n\n2. Q,. Why?\n\nA, So.", [("Who ruled?", "The king."), ("Why?", "So.")]),
     "advanced_questions": ("1. What is it?\n\nAns. — A thing.\n\nDime Question Books.\n\nMore of it.\n\nNote.—no.\n\n2. Why? An?.— So.", [("What is it?", "A thing. More of it."), ("Why?", "So.")]),
+    "advanced_questions+": ("1. What?\n\nNote.—first.\n\nAns.—One.\n\nAns.—Two.\n\n3.\n\nAns.—Three.\n\n4. Who? Ans.— He.\n\nA HEADING\nOF TWO\nAND THREE LINES\n\nChemistry. 26", [("What?", "One."), ("Who?", "He. A HEADING OF TWO AND THREE LINES")]),
 }
 
 
@@ -181,6 +182,10 @@ def test_extractors(spark, name):
     df = spark.createDataFrame([("b", text), ("null", None), ("empty", "")], "book string, text string")
     got = [(r["q"], r["a"]) for r in extract.extract(df, "text", name, ["book"]).orderBy("i").collect()]
     assert got == want
+    if f"{name}+" in BOOKS:
+        text, want = BOOKS[f"{name}+"]
+        df = spark.createDataFrame([("b", text)], "book string, text string")
+        assert [(r["q"], r["a"]) for r in extract.extract(df, "text", name, ["book"]).orderBy("i").collect()] == want
 
 
 def test_generators(spark):

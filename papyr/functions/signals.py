@@ -6,6 +6,8 @@ unless said otherwise. Patterns are Java regular expressions.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -297,34 +299,60 @@ def mask_notation(words: Column, bits: Column, sizes: Column) -> Column:
     return F.struct(F.transform(kept, lambda x: x["words"]).alias("words"), F.transform(kept, lambda x: x["bits"]).alias("bits"), F.transform(kept, lambda x: x["bytes"]).alias("bytes"))
 
 
-SPEECH_WORDS = "i you we me my your shall will can do did is are was what who why how when where yes no not".split()
+# Fixed patterns: words of talk, address by rank or sex, and a name's possession at the opening.
+TALK = r"(?iU)\b(i|you|we|my|your|our|me|us|is|are|was|were|be|do|does|did|come|go|let|will|shall|not|no|yes|have|has|there|here|god|never|ever|pray|tell|know|think|say)\b"
+ADDRESS = r"(?iU)\b(madam|madame|ma'am|sir|mister|mistress|miss)\b"
+POSSESSION = r"(?U)^[A-Z][a-z]+'s\b"
+# Words that lose nothing by a typing error.
+SMALL_WORDS = (
+    "the and that have for not with you this but his from they she her him will what when which there their would could should been were was are its into "
+    "than then them these those some such only other any very does did how why who whom whose all can may"
+).split()
+# Fixed patterns: what a line of dialogue may not hold, and a reply's opening.
+ARCHAIC = r"(?iU)\b(thou|thee|thy|thine|wilt|hath|doth|prithee|methinks|nay)\b"
+NARRATION = r"(?iU)\b(said|replied|answered|asked|cried|returned|observed|exclaimed|rejoined|remarked|murmured|whispered|retorted|inquired|ejaculated)\b"
+DIALECT = r"(?iU)\b\w*'(?:d|ll|s|t|n|em|im|ee)\b|\b(?:wos|wot|yer|aint|dunno|summat|nowt|hisself|theirselves|know'd|s'pose)\b"
+TITLED_NAME = r"(?U)\b(Mr|Mrs|Miss|Dr|Lady|Lord|Sir|Madame|Monsieur)\.?\s+[A-Z][a-z]+"
+REPLY_OPENING = (
+    r"(?iU)^\s*(and|but|then|so|yet|nor|for|yes|no|indeed|certainly|quite|true|exactly|precisely|of course|not at all|nothing|nobody|never|neither|both|either)\b"
+)
 
 
-def is_speechlike(c: Column, words: list[str] = SPEECH_WORDS) -> Column:
+def is_speechlike(c: Column) -> Column:
     """Whether an utterance could be said to anyone: it holds a word of talk, no address by rank or sex, and opens on no name's possession."""
-    low = F.lower(c)
-    return has(low, r"(?U)\b(?:" + "|".join(words) + r")\b") & ~has(low, r"(?U)\b(?:sir|madam|mr|mrs|miss|lord|lady|papa|mamma|father|mother|brother|sister|my (?:boy|girl|dear|lad|son|man))\b") & ~has(c, r"^[A-Z][a-z]+['’]s\b")
+    return has(c, TALK) & ~has(c, ADDRESS) & ~has(c, POSSESSION)
 
 
 def content_words(c: Column) -> Column:
-    """The words of five letters or more that are no function words, as they stand."""
+    """The words of five letters or more that carry meaning to lose, as they stand."""
     letters = lambda t: F.lower(F.regexp_replace(t, "[^A-Za-z]", ""))
-    return F.filter(tokens(c), lambda t: (F.length(letters(t)) >= 5) & ~letters(t).isin(STOP_WORDS))
+    return F.filter(tokens(c), lambda t: (F.length(letters(t)) >= 5) & ~letters(t).isin(SMALL_WORDS))
 
 
-def clean_turn(c: Column, role: Column) -> Column:
+def clean_turn(c: Column, role: Column, names: str | None = None) -> Column:
     """A line of dialogue as a turn of its own, or null.
 
-    Collapsed, without quotes and trailing marks, with a final stop; 4 to 320 characters, opening on a capital, without figures,
-    old pronouns, narration, curly quotes and titled names; an answer has three words at least and asks nothing.
+    Collapsed, without outer quotes and trailing marks, with a final stop; 4 to 320 characters, opening on a capital, without figures,
+    old pronouns, narration, curly quotes, titled names and the book's ``names`` (a pattern); an answer has three words at
+    least, asks nothing and speaks no dialect.
     """
-    s = F.regexp_replace(F.regexp_replace(collapse(c), "^[\"'“”‘’]+|[\"'“”‘’]+$", ""), "[,;:–—\\-\\s]+$", "")
-    s = F.when(has(s, "[.!?]$"), s).otherwise(F.concat(s, F.lit(".")))
-    bad = has(s, r"\d") | has(s, r"(?iU)\b(?:thee|thou|thy|thine|ye|hath|doth)\b") | has(s, r"(?iU)\b(?:said|replied|asked|cried|exclaimed)\b") | has(s, "[“”‘]") | has(s, r"(?U)\b(?:Mr|Mrs|Miss|Dr|Sir|Lady|Lord|Captain)\b\.?")
-    ok = F.length(s).between(4, 320) & has(s, r"^\p{Lu}") & ~bad
-    return F.when(ok & ((role != "assistant") | ((word_count(s) >= 3) & ~has(s, r"\?$"))), s)
-
-
-def route_eligible(classes: Column, prose: Column, text: Column, wanted: list[str], floor: float = 0.70) -> Column:
-    """Whether an excerpt can source a route: overlapping classes, prose score, sound formulas, and a hedge. Null classes and scores fail."""
-    return F.coalesce(F.arrays_overlap(classes, F.array(*map(F.lit, wanted))), F.lit(False)) & (F.coalesce(prose, F.lit(0.0)) >= floor) & ~has_broken_math(text) & has_calibration_hedge(text)
+    s = F.regexp_replace(collapse(c), "^[\"'“”]+|[\"'“”]+$", "")
+    s = F.regexp_replace(F.regexp_replace(s, "[,;:–—-]+$", ""), r"(?U)^\s+|\s+$", "")
+    s = F.when((s == "") | has(s, "[.!?]$"), s).otherwise(F.concat(s, F.lit(".")))
+    barred = [r"(?U)\d", ARCHAIC, NARRATION, "[“”]", TITLED_NAME, *([names] if names else [])]
+    bad = F.lit(False)
+    for pattern in barred:
+        bad = bad | has(s, pattern)
+    answers = (word_count(s) >= 3) & ~has(s, r"\?$") & ~has(s, DIALECT)
+    return F.when(F.length(s).between(4, 320) & has(s, r"^\p{Lu}") & ~bad & ((role != "assistant") | answers), s)
+
+
+def name_pattern(speakers: list[str]) -> str | None:
+    """A pattern for the names of a book's speakers, of four letters or more, without those that are common words; null without any."""
+    # fixed values: speakers too common as words to turn a line down for
+    common = set(
+        "will may grace rose mark hope faith young little old man woman boy girl doctor captain general king queen prince count duke madame monsieur father mother uncle "
+        "aunt lord lady miss mrs the one first second other".split()
+    )
+    own = sorted({w for s in speakers for w in re.findall("[A-Za-z]{4,}", s or "") if w.lower() not in common}, key=lambda w: (-len(w), w))
+    return r"(?U)\b(?:" + "|".join(own) + r")\b" if own else None

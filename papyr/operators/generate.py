@@ -55,7 +55,8 @@ def nonsense(kind: Column, n: Column, seed: int, sentence: Column) -> Column:
     u = lambda p: _u(n, p, seed)
     run = _letters(n, _upto(u("run"), 6, 12), "run-c", seed, CONSONANTS, VOWELS)
     row = F.element_at(F.array(*map(F.lit, KEY_ROWS)), _upto(u("row"), 1, 3))
-    span = F.substring(row, _upto(u("start"), 1, 3), _upto(u("span"), 4, 8))
+    first = (1 + F.floor(u("start") * (F.greatest(F.length(row) - 6, F.lit(0)) + 1))).cast("int")  # the longer the row, the more places
+    span = F.substring(row, first, _upto(u("span"), 4, 8))
 
     def token(k: Column) -> Column:
         tiny = (k > 1) & (draw(n, "tiny", k, seed) < 0.4)

@@ -6,20 +6,33 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from papyr.functions import signals as S
-
-# Words whose relative frequencies mark a style.
-STYLE_WORDS = "the of and to in a that is it which as be by this for not with on are from or an at have but if so such upon".split()
+# Words whose relative frequencies mark a style; pairs of words never occur as one token and stand for places that are always 0.
+STYLE_WORDS = (
+    "the a an of to in on at by for and or but if nor so as than then that this these those what which who whom whose how why when where whence whither wherein whereby whereof "
+    "is are was were be been being am have has had do does did shall will would should could can may might must not no yes it its they them their there here he she his her him we our "
+    "us you your i my me one two three into onto unto upon under over about through between among against toward towards after before during since until while though although because "
+    "hath doth thee thou thy ye unto hence thus therein hereof herein of_what in_what into_what by_what for_what such very more most"
+).split()
+# First words and first two words of questions.
+OPENERS = "into of what how why who when where which can is are do does describe name explain give state".split()
+PAIR_OPENERS = ("of what", "into what", "in what", "can you", "how does", "what is", "what are", "how many", "for what", "by what", "how did")
 
 
 def style_features(text: Column, grams: list[str]) -> Column:
-    """An array of numbers: style words and trigrams per token, and lengths of sentences and words. Null texts give null."""
+    """An array of numbers: style words per word, trigrams per trigram of the text between blanks, marks of its opening, words, mean word length, characters. Null texts give null."""
     low = F.lower(text)
-    n = F.greatest(S.word_count(text), F.lit(1))
-    words = [S.count(low, rf"(?<![a-z]){w}(?![a-z])") / n for w in STYLE_WORDS]
-    tri = [(F.length(low) - F.length(F.replace(low, F.lit(g), F.lit("")))) / F.lit(float(max(len(g), 1))) / n for g in grams]
-    shape = [n / F.greatest(F.size(S.sentences(text)), F.lit(1)), F.length(text) / n, S.count(text, r"\?") / n]
-    return F.when(text.isNotNull(), F.array(*[c.cast("double") for c in (*words, *tri, *shape)]))
+    words = F.regexp_extract_all(low, F.lit("[a-z]+"), F.lit(0))
+    n = F.greatest(F.size(words), F.lit(1))
+    padded = F.concat(F.lit(" "), low, F.lit(" "))
+    places = F.greatest(F.length(padded) - 2, F.lit(0))
+    threes = F.when(places > 0, F.transform(F.sequence(F.lit(1), places), lambda i: F.substring(padded, i, F.lit(3)))).otherwise(F.array().cast("array<string>"))
+    shares = lambda held, every, of: F.transform(F.array(*map(F.lit, of)).cast("array<string>"), lambda x: F.size(F.filter(held, lambda y: y == x)) / every)
+    marks = lambda got, of: F.transform(F.array(*map(F.lit, of)), lambda x: F.when(got == x, 1.0).otherwise(0.0))
+    first, two = F.coalesce(F.get(words, F.lit(0)), F.lit("")), F.array_join(F.slice(words, F.lit(1), F.lit(2)), " ")
+    letters = F.aggregate(words, F.lit(0), lambda s, w: s + F.length(w))
+    shape = F.array(F.size(words).cast("double"), F.coalesce(F.try_divide(letters, F.size(words)), F.lit(0.0)), F.length(text).cast("double"))
+    parts = [shares(words, n, STYLE_WORDS), *([shares(threes, F.greatest(places, F.lit(1)), grams)] if grams else []), marks(first, OPENERS), marks(two, PAIR_OPENERS), shape]
+    return F.when(text.isNotNull(), F.flatten(F.array(*parts)))
 
 
 def fold(key: Column, folds: int, seed: int = 0) -> Column:

@@ -67,6 +67,19 @@ def opening_stretch(turns: Column, clean: Column, most: int = 12, least: int = 4
     return F.when(n >= least, F.slice(turns, F.lit(1), n))
 
 
+def dialogue(lines: Column, names: str | None = None, most: int = 12, least: int = 4) -> Column:
+    """Lines (struct with ``text``) by turns as a conversation (role, content): the cleaned lines up to the first that isn't clean, an even number, at most ``most``.
+
+    Null below ``least``, and where the first is plainly a reply.
+    """
+    from papyr.functions import signals as S
+
+    role = lambda k: F.when(k % 2 == 0, "user").otherwise("assistant")
+    turns = F.transform(F.slice(lines, F.lit(1), F.lit(most)), lambda x, k: F.struct(role(k).alias("role"), S.clean_turn(x["text"], role(k), names).alias("content")))
+    reply = S.has(F.get(turns, F.lit(0))["content"], S.REPLY_OPENING)
+    return F.when(~F.coalesce(reply, F.lit(False)), opening_stretch(turns, F.transform(turns, lambda t: t["content"].isNotNull()), most, least))
+
+
 def exchanges_kept(turns: Column, verbatim: Column, target: Column, least: int = 4) -> Column:
     """The longest alternating beginning whose answers are verbatim, of at most twice ``target`` turns and an even number; null below ``least``."""
     return opening_stretch(turns, F.transform(turns, lambda t, k: (t["role"] == "user") | F.coalesce(F.get(verbatim, k), F.lit(False))), 1_000_000, least) if target is None else F.slice(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from papyr.functions import normalise as N
 from papyr.functions import signals as S
+from papyr.functions.repair import Lexicon, split_words
 
 # Classes from the rarest and most specific to the fallback.
 CLAIM_ORDER = ["stem_reasoning", "how_to", "verse", "conversational", "reasoning", "narrative_grounded", "narrative_fiction", "opinion", "knowledge", "composition", "drop"]
@@ -33,30 +34,43 @@ def weighted_score(dims: dict[str, float], missing: int = 5) -> Column:
     return sum((F.coalesce(F.col(k), F.lit(missing)) * w for k, w in dims.items()), F.lit(0.0)) / sum(dims.values())
 
 
-def warnings(question: Column, answer: Column, route: Column) -> Column:
-    """The structural defects of a graded row, as an array of names. What asks a word list is added by its own operator."""
-    text = F.when(F.coalesce(answer, F.lit("")) != "", answer).otherwise(F.coalesce(question, F.lit("")))
+# Words without content, a reference to a figure, a speaker's label.
+PLAIN_WORDS = "the a an and or of to in on for with that this who which what how when where was were is are be being his her their he she".split()
+FIGURE_REFERENCE = r"(?iU)\b(?:as (?:shown|indicated) in (?:the )?|see |shown in )(?:fig(?:ure)?\.?|diagram)\s*\d*"
+SPEAKER_LABEL = r"\b[A-Z][a-z]{1,12}\.\s+(?=[A-Z])"
+# What each defect is called.
+WARNINGS = {
+    "square": "unbalanced square brackets", "round": "unbalanced parentheses", "curly": "unbalanced curly quotation marks", "straight": "unbalanced straight quotation marks", "drama": "dramatic speaker labels flattened into prose",
+    "split": "probable OCR-split words: ", "figure": "depends on a missing figure or diagram", "end": "answer appears to end mid-sentence or mid-structure", "prefix": "meta prompt prefix: Comprehend",
+    "summary": "question over-summarizes the narrative answer", "proposition": "the question contains the answer proposition",
+}
+
+
+def warnings(question: Column, answer: Column, route: Column, lexicon: Lexicon | None = None) -> Column:
+    """The structural defects of a graded row, as an array of names; words torn apart are looked for where a lexicon is given."""
     q, a = F.coalesce(question, F.lit("")), F.coalesce(answer, F.lit(""))
+    text = F.when(a != "", a).otherwise(q)
     uneven = lambda x, y: S.count(text, x) != S.count(text, y)
-    qw = F.regexp_extract_all(F.lower(q), F.lit("[a-z]+"), F.lit(0))
-    content = F.filter(qw, lambda w: ~w.isin("the a an and or of to in on for with that this who which what how when where was were is are be being his her their he she".split()))
-    aw = F.regexp_extract_all(F.lower(a), F.lit("[a-z]+"), F.lit(0))
-    overlap = F.size(F.filter(content, lambda w: F.array_contains(aw, w))) / F.greatest(F.size(content), F.lit(1))
+    story = route.isin("narrative_grounded", "narrative_fiction")
+    content = F.filter(N.word_tokens(q), lambda w: ~w.isin(PLAIN_WORDS))
+    told = N.word_tokens(a)
+    overlap = F.size(F.filter(content, lambda w: F.array_contains(told, w))) / F.greatest(F.size(content), F.lit(1))
     flat = lambda x: F.array_join(F.regexp_extract_all(F.lower(x), F.lit("[a-z0-9]+"), F.lit(0)), " ")
-    figure = r"(?iU)\b(?:as (?:shown|indicated) in (?:the )?|see |shown in )(?:fig(?:ure)?\.?|diagram)\s*\d*"
-    found = [
-        (uneven(r"\[", r"\]"), "unbalanced square brackets"),
-        (uneven(r"\(", r"\)"), "unbalanced parentheses"),
-        (uneven("“", "”"), "unbalanced curly quotation marks"),
-        (S.count(text, '"') % 2 == 1, "unbalanced straight quotation marks"),
-        ((route == "narrative_fiction") & ~F.contains(text, F.lit("\n")) & (S.count(text, r"\b[A-Z][a-z]{1,12}\.\s+(?=[A-Z])") >= 2), "dramatic speaker labels flattened into prose"),
-        (route.isin("stem_reasoning", "how_to_qa") & S.has(F.concat(q, F.lit(" "), a), figure), "depends on a missing figure or diagram"),
-        (S.has(F.rtrim(text), "(?:[:;,]|---?)$"), "answer appears to end mid-sentence or mid-structure"),
-        (route.isin("narrative_grounded", "narrative_fiction") & F.startswith(F.lower(F.ltrim(q)), F.lit("comprehend:")), "meta prompt prefix: Comprehend"),
-        (route.isin("narrative_grounded", "narrative_fiction") & (F.size(content) >= 35) & (overlap >= 0.6), "question over-summarizes the narrative answer"),
-        ((route == "knowledge_qa") & (F.size(F.split(flat(a), " ")) >= 5) & F.contains(flat(q), flat(a)), "the question contains the answer proposition"),
-    ]
-    return F.filter(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for c, n in found]), lambda x: x.isNotNull())
+    torn = F.lit(None).cast("string")
+    if lexicon is not None:
+        torn = F.nullif(lexicon.udf(lambda t, words: ", ".join(split_words(t, words)[:3]), "string")(text), F.lit(""))
+    found = {
+        "square": uneven(r"\[", r"\]"), "round": uneven(r"\(", r"\)"), "curly": uneven("“", "”"), "straight": S.count(text, '"') % 2 == 1,
+        "drama": (route == "narrative_fiction") & ~F.contains(text, F.lit("\n")) & (S.count(text, SPEAKER_LABEL) >= 2),
+        "split": torn.isNotNull(),
+        "figure": route.isin("stem_reasoning", "how_to_qa") & S.has(F.concat(q, F.lit(" "), a), FIGURE_REFERENCE),
+        "end": S.has(text, r"(?U)(?:[:;,]|---?)\s*\z"),
+        "prefix": story & S.has(q, r"(?iU)\A\s*comprehend:"),
+        "summary": story & (F.size(content) >= 35) & (overlap >= 0.6),
+        "proposition": (route == "knowledge_qa") & (F.size(F.split(flat(a), " ")) >= 5) & F.contains(flat(q), flat(a)),
+    }
+    name = lambda k: F.concat(F.lit(WARNINGS[k]), torn) if k == "split" else F.lit(WARNINGS[k])
+    return F.filter(F.array(*[F.when(F.coalesce(c, F.lit(False)), name(k)) for k, c in found.items()]), lambda x: x.isNotNull())
 
 
 def warning_cap(names: Column) -> Column:

@@ -19,5 +19,8 @@ def test_learned(spark):
     assert abs(learned.discriminant(df, "v", "y")[0]) > 0.95
     d = learned.one_class(df, "v", ["k"], 3)
     assert d.count() == 300 and d.agg(F.min("distance")).collect()[0][0] >= 0
-    t = spark.createDataFrame([("The end of the day.",), (None,)], "t string").select(learned.style_features(F.col("t"), ["the"])).collect()
-    assert len(t[0][0]) == len(learned.STYLE_WORDS) + 4 and t[1][0] is None
+    t = spark.createDataFrame([("The end of the day.",), (None,), ("How many the theme?",), ("",)], "t string").select(learned.style_features(F.col("t"), ["the", " of"])).collect()
+    n = len(learned.STYLE_WORDS)
+    assert len(t[0][0]) == n + 2 + 19 + 11 + 3 and t[1][0] is None
+    assert t[0][0][learned.STYLE_WORDS.index("the")] == 2 / 5 and t[0][0][n] == 2 / 19 and t[0][0][n + 1] == 1 / 19 and t[0][0][-3:] == [5.0, 14 / 5, 19.0]
+    assert t[2][0][n] == 2 / 19 and t[2][0][n + 2 + learned.OPENERS.index("how")] == 1.0 and t[2][0][n + 2 + 19 + learned.PAIR_OPENERS.index("how many")] == 1.0 and sum(t[3][0]) == 0.0

@@ -8,6 +8,8 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
+from papyr.functions import repair
+from papyr.functions import signals as S
 from papyr.operators import extract, generate, sampling, sequence, stats, windows
 
 
@@ -65,6 +67,19 @@ def test_turns(spark):
     assert ver["a"] is None and len(ver["b"]) == 2
 
 
+def test_dialogue(spark):
+    say = lambda *xs: [(x,) for x in xs]
+    cases = [
+        say("“Where is the boat tonight?”", "It lies in the harbour,", "Is it far?", "It is a long way off—"), say("Yes, it is so.", "It lies there.", "Is it far?", "It is a long way."), say("Where is it?", "It lies in the harbour.", "He said it was far.", "It is a long way."),
+        say("Where is it?", "I dunno where it lies.", "Is it far?", "It is a long way."), say("Where is Brandt?", "It lies there now.", "Is it far?", "It is long."), None,
+    ]
+    df = spark.createDataFrame([(c,) for c in cases], "l array<struct<text:string>>")
+    got = [r[0] and [x["content"] for x in r[0]] for r in df.select(sequence.dialogue(F.col("l"), S.name_pattern(["Mr. Brandt", "The Captain", None]))).collect()]
+    assert got == [["Where is the boat tonight?", "It lies in the harbour.", "Is it far?", "It is a long way off."], None, None, None, None, None]
+    df = spark.createDataFrame([("God save you.",), ("Brandt's way.",), ("Current indicator.",), ("Come, sir.",)], "t string")
+    assert [r[0] for r in df.select(S.is_speechlike(F.col("t"))).collect()] == [True, False, False, False]
+
+
 def test_ranked_cuts(spark):
     for n, k in ((20, 1), (19, 0)):
         df = spark.createDataFrame([(i, float(i % 7)) for i in range(n)] + [(99, None)], "i int, s double")
@@ -135,6 +150,11 @@ def test_scores(spark):
     df = spark.createDataFrame([("q", "a (b", "knowledge_qa"), ("q", "one, two:", "x"), ("what is the one two three four five", "one two three four five", "knowledge_qa"), (None, None, "x")], "q string, a string, r string")
     got = [r[0] for r in df.select(stats.warnings(F.col("q"), F.col("a"), F.col("r"))).collect()]
     assert got == [["unbalanced parentheses"], ["answer appears to end mid-sentence or mid-structure"], ["the question contains the answer proposition"], []]
+    lex = repair.Lexicon(spark, ["parliament", "experiment", "the", "sat"])
+    df = spark.createDataFrame([("q", "the parlia ment sat\n", "x"), (" \n Comprehend: q", "one;\n ", "narrative_fiction"), ("q", "a (expe riment", "x")], "q string, a string, r string")
+    got = [r[0] for r in df.select(stats.warnings(F.col("q"), F.col("a"), F.col("r"), lex)).collect()]
+    assert got == [["probable OCR-split words: parlia ment"], ["answer appears to end mid-sentence or mid-structure", "meta prompt prefix: Comprehend"], ["unbalanced parentheses", "probable OCR-split words: expe riment"]]
+    assert [r[0] for r in spark.createDataFrame([(x,) for x in got], "w array<string>").select(stats.warning_cap(F.col("w"))).collect()] == [55, 60, 40]
 
 
 def test_auc_and_vectors(spark):

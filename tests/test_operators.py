@@ -58,6 +58,48 @@ def test_greedy_batches(spark):
     assert got["c"] == [0, 1, 1, 2]
 
 
+@pytest.mark.parametrize("budget,most", [(30, None), (8, 5), (0, None), (10**6, 7), (10**6, None)])
+def test_batches_over_many_ranges(spark, budget, most):
+    """One group holds nearly all rows and spans all ranges, with runs of zeros, items beyond the budget, nulls and a null group."""
+    rng = random.Random(budget)
+    sizes = {"hot": [rng.choice([0, 0, 1, 3, 9, 50, None]) for _ in range(900)], "b": [9] * 7, None: [2, None, 8]}
+    df = spark.createDataFrame([(g, i, s) for g, xs in sizes.items() for i, s in enumerate(xs)], "g string, i int, s int")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = {(r["g"], r["i"]): r["batch"] for r in sequence.greedy_batches(df, "s", budget, "g", "i", most).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(got) == df.count()
+    for g, xs in sizes.items():
+        cur, n, b = 0, 0, 0
+        for i, s in enumerate(xs):
+            if n and (cur + (s or 0) > budget or n >= (most or 10**9)):
+                cur, n, b = 0, 0, b + 1
+            cur, n = cur + (s or 0), n + 1
+            assert got[g, i] == b
+
+
+def test_islands_over_many_ranges(spark):
+    rng = random.Random(4)
+    flags = [rng.choice([True, True, True, False, None]) for _ in range(500)]
+    df = spark.createDataFrame([("d", i, f"q{i}", f"a{i}", f) for i, f in enumerate(flags)] + [(None, 3, "q", "a", True)], "dataset string, i int, q string, a string, depends boolean")
+    got = {r["i"]: r["chain"] for r in sequence.chains(df).where("dataset = 'd'").collect()}
+    want, c = {}, -1
+    for i, f in enumerate(flags):
+        c += 1 if i == 0 or not f else 0
+        want[i] = c
+    assert got == want and [r["chain"] for r in sequence.chains(df).where("dataset is null").collect()] == [0]
+    w = {r["i"]: (r["w"], r["pos"], r["context"] and r["context"]["q"]) for r in sequence.pair_windows(df.where("dataset = 'd'"), 7).collect()}
+    assert w == {i: (i // 7, i % 7, None if i < 7 else f"q{i // 7 * 7 - 1}") for i in range(500)}
+
+
+def test_attached_turns_merge(spark):
+    rows = [("d", 0, "clear", [("user", "q0"), ("assistant", "a0")], False, None), ("d", 1, "bare", [("user", "q1")], None, True), ("d", 2, None, None, True, False)]
+    df = spark.createDataFrame(rows, "dataset string, i int, status string, conversations array<struct<role:string,content:string>>, chained boolean, enriched boolean")
+    got = sequence.merge_attached(sequence.attach(df)).orderBy("i").collect()
+    assert [([t["content"] for t in r["conversations"]], r["chained"], r["enriched"]) for r in got] == [(["q0", "a0", "q1"], True, True), ([], True, False)]
+
+
 def test_turns(spark):
     t = [("user", "u1"), ("assistant", "a1"), ("user", "u2"), ("assistant", "a2"), ("assistant", "x")]
     df = spark.createDataFrame([(t, [True] * 5)], "c array<struct<role:string,content:string>>, ok array<boolean>")

@@ -29,7 +29,7 @@ REASON = r"(?iU)\b(because|therefore|thus|hence|since|consequently|inasmuch)\b"
 SPEECH = r"(?iU)\b(said|asked|replied|cried|answered|exclaimed|demanded|told|spoke|quoth)\b"
 QUOTE = "[\"“”‘’]"
 FIRST_PERSON = r"(?iU)\b(i|we|my|our|me|us)\b"
-PAST = r"(?U)\b\w+ed\b"
+PAST = r"(?U)(?<=\w)ed\b"  # of a word that ends so
 STRONG_FORM = (
     r"(?iU)\b(be it enacted|be it ordained|by the authority of the same|in this present parliament|know all men by these presents|in witness whereof|"
     r"this indenture|given under my hand|resolved,? that|be it resolved|your obedient servant|yours (faithfully|truly|sincerely|obediently)|"

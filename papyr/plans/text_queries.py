@@ -10,7 +10,7 @@ from papyr.functions import repair as R
 from papyr.functions import signals as S
 from papyr.operators import extract as X
 from papyr.operators import stats, windows
-from papyr.session import table
+from papyr.session import spread, table
 
 # ---- SQL of the same patterns: RE2 has no look-around and no Unicode word boundaries --------------------
 
@@ -34,7 +34,7 @@ _STOP = "(" + ", ".join(f"'{w}'" for w in dict.fromkeys(S.STOP_WORDS)) + ")"
 
 
 def _docs(spark: SparkSession, base: str) -> DataFrame:
-    return table(spark, base, "documents").where(F.col("text").isNotNull())
+    return spread(table(spark, base, "documents").where(F.col("text").isNotNull()).select("doc_id", "text"))
 
 
 def doc_char_counts(spark, base):
@@ -79,7 +79,7 @@ def route_signals(spark, base):
 
 
 def affordances(spark, base):
-    ex = table(spark, base, "excerpts").where(F.col("excerpt").isNotNull())
+    ex = spread(table(spark, base, "excerpts").where(F.col("excerpt").isNotNull()).select("doc_index", "excerpt"))
     c = F.col("excerpt")
     return ex.select("doc_index", S.affordance_label(c).alias("label"), F.bround(S.stem_signal(c), 6).alias("stem"), S.has_calibration_hedge(c).alias("hedge"), F.bround(S.conversational_signal(c), 6).alias("conversational"), S.is_structured_dialogue(c).alias("dialogue"), S.is_composition(c).alias("composed"))
 
@@ -187,7 +187,7 @@ def catechism(spark, base):
 def corruption(spark, base):
     """Classes of spoilt text in answers, before and after mending."""
     lex = R.Lexicon.of(R.inflected(table(spark, base, "lexicon").where(F.col("word").isNotNull()).select("word")))
-    rows = table(spark, base, "pairs").where(F.col("a").isNotNull()).select("dataset", F.col("a").alias("answer"))
+    rows = spread(table(spark, base, "pairs").where(F.col("a").isNotNull()).select("dataset", F.col("a").alias("answer")))
     return R.clean_rows(rows, ["answer"], lex).groupBy("dataset").agg(F.count_if("keep").alias("kept"), F.count_if(~F.col("keep")).alias("dropped"), F.sum("joined").alias("joined"))
 
 

@@ -15,6 +15,12 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over as many partitions as there are cores, where its files give fewer; for work that costs far more than the move. Large inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The folder shared by all executors that the cluster names in ``spark.checkpoint.dir``.
 

@@ -8,7 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from papyr.llm import bpe, cutoff, defects, encoding, language, mixing, quality, scan, subjects
-from papyr.session import table
+from papyr.session import spread
+from papyr.session import table as stored
+
+
+def table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """A table of the folder; texts are read by all cores, however few the files."""
+    df = stored(spark, base, name)
+    return spread(df) if name in ("documents", "excerpts", "pairs", "conversations_nested") else df
 
 
 def rec_id(*names: str) -> Column:

@@ -77,7 +77,7 @@ def target_exchanges(key: Column, seed: int = 0) -> Column:
 
 def mismatched(rows: DataFrame, key: str, answer: str = "answer", seed: int = 0) -> DataFrame:
     """``rows`` with ``other``, the answer of another row: the two seeded orders are joined rank by rank within hash buckets, and equal answers fall out."""
-    bucket = F.pmod(F.xxhash64(key), F.lit(512))
+    bucket = F.substring(F.md5(F.concat(F.lit("bucket:"), F.col(key).cast("string"))), 1, 3)
     a = rows.withColumn("_b", bucket).withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy(seeded_order(F.col(key), seed), key)))
     b = rows.select(F.col(answer).alias("other"), bucket.alias("_b"), F.row_number().over(Window.partitionBy(bucket).orderBy(seeded_order(F.col(key), seed + 1), key)).alias("_r"))
     return a.join(b, ["_b", "_r"]).where(~F.col("other").eqNullSafe(F.col(answer))).drop("_b", "_r")

@@ -141,19 +141,30 @@ ROUTES = {
 }
 
 
-def sources(excerpts: DataFrame, route: Route, floor: float = 0.0, affordance: str | None = None) -> DataFrame:
-    """The excerpts a route may use. Null classes have none, null scores count 0. Fiction leaves grounded episodes to the other route."""
-    c = F.col("excerpt")
+def _may_use(route: Route, floor: float, affordance: str | None, broken: Column, hedged: Column) -> Column:
     ok = F.coalesce(F.arrays_overlap("classes", F.array(*map(F.lit, route.classes))), F.lit(False)) & (F.coalesce("prose_score", F.lit(0.0)) >= floor)
     if affordance:
         ok = ok & (F.col("affordance") == affordance)
     if not route.broken_math:
-        ok = ok & ~F.coalesce(S.has_broken_math(c), F.lit(False))
+        ok = ok & ~F.coalesce(broken, F.lit(False))
     if route.hedge:
-        ok = ok & F.coalesce(S.has_calibration_hedge(c), F.lit(False))
+        ok = ok & F.coalesce(hedged, F.lit(False))
     if route.name == "narrative_fiction":
         ok = ok & ~F.coalesce(F.array_contains("classes", "narrative_grounded"), F.lit(False))
-    return excerpts.where(ok)
+    return ok
+
+
+def sources(excerpts: DataFrame, route: Route, floor: float = 0.0, affordance: str | None = None) -> DataFrame:
+    """The excerpts a route may use. Null classes have none, null scores count 0. Fiction leaves grounded episodes to the other route."""
+    c = F.col("excerpt")
+    return excerpts.where(_may_use(route, floor, affordance, S.has_broken_math(c), S.has_calibration_hedge(c)))
+
+
+def routes_of(floor: float = 0.0) -> Column:
+    """The names of all routes that may use an excerpt (classes, prose_score, excerpt), told in one reading of it."""
+    marks = F.array(F.struct(S.has_broken_math(F.col("excerpt")).alias("broken"), S.has_calibration_hedge(F.col("excerpt")).alias("hedged")))
+    names = lambda m: F.filter(F.array(*[F.when(_may_use(r, floor, None, m["broken"], m["hedged"]), F.lit(r.name)) for r in ROUTES.values()]), lambda x: x.isNotNull())
+    return F.flatten(F.transform(marks, names))
 
 
 def checked_answer(route: Route, spans: Column, excerpt: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from papyr.functions import signals as S
 from papyr.operators.windows import pinned
-from papyr.plans import pool_queries, text_queries
+from papyr.plans import pool_queries, signal_sql, text_queries
 from papyr.session import spread, table
 
 
@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return text_queries.SQL | pool_queries.SQL
+    return text_queries.SQL | pool_queries.SQL | signal_sql.SQL

@@ -134,8 +134,9 @@ def grade_percentiles(spark, base):
 
 
 def grade_warnings(spark, base):
-    g = table(spark, base, "graded_rows").select("route", F.explode(stats.warnings(F.col("question"), F.col("answer"), F.coalesce(F.col("route"), F.lit("")))).alias("warning"))
-    return g.groupBy("warning").agg(F.count(F.lit(1)).alias("n"))
+    """The structural defects of answers, as rows of the knowledge route."""
+    p = table(spark, base, "pairs").select(F.explode(stats.warnings(F.col("q"), F.col("a"), F.lit("knowledge_qa"))).alias("warning"))
+    return p.groupBy("warning").agg(F.count(F.lit(1)).alias("n"))
 
 
 def warning_caps(spark, base):
@@ -162,11 +163,7 @@ def excerpt_pool(spark, base):
 def route_sources(spark, base):
     """How many excerpts each route may use."""
     e = table(spark, base, "excerpts").where(F.col("excerpt").isNotNull()).select("doc_index", "classes", "prose_score", "excerpt", "affordance")
-    own = [verdicts.sources(e, r, 0.7).select(F.lit(r.name).alias("route"), "doc_index") for r in verdicts.ROUTES.values()]
-    out = own[0]
-    for x in own[1:]:
-        out = out.unionByName(x)
-    return out.groupBy("route").agg(F.countDistinct("doc_index").alias("n"))
+    return e.select("doc_index", F.explode(verdicts.routes_of(0.7)).alias("route")).groupBy("route").agg(F.countDistinct("doc_index").alias("n"))
 
 
 def shard_offsets(spark, base):

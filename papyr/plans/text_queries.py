@@ -81,7 +81,12 @@ def route_signals(spark, base):
 def affordances(spark, base):
     ex = spread(table(spark, base, "excerpts").where(F.col("excerpt").isNotNull()).select("doc_index", "excerpt"))
     c = F.col("excerpt")
-    return ex.select("doc_index", S.affordance_label(c).alias("label"), F.bround(S.stem_signal(c), 6).alias("stem"), S.has_calibration_hedge(c).alias("hedge"), F.bround(S.conversational_signal(c), 6).alias("conversational"), S.is_structured_dialogue(c).alias("dialogue"), S.is_composition(c).alias("composed"))
+    return ex.select("doc_index", S.affordance_label(c).alias("label"), F.bround(S.stem_signal(c), 6).alias("stem"), S.has_calibration_hedge(c).alias("hedge"), F.bround(S.conversational_signal(c), 6).alias("conversational"), S.is_composition(c).alias("composed"))
+
+
+def dialogues(spark, base):
+    ex = table(spark, base, "excerpts").where(F.col("excerpt").isNotNull())
+    return ex.select("doc_index", S.is_structured_dialogue(F.col("excerpt")).alias("dialogue"))
 
 
 def broken_math(spark, base):
@@ -193,7 +198,7 @@ def corruption(spark, base):
 
 QUERIES = {
     "doc_char_counts": doc_char_counts, "gibberish": gibberish, "ocr_scores": ocr_scores, "stripped_lines": stripped_lines, "sentence_counts": sentence_counts, "region_quality": region_quality, "openings": openings,
-    "route_signals": route_signals, "affordances": affordances, "broken_math": broken_math, "notation": notation, "turn_rules": turn_rules, "control_shares": control_shares, "bleed_candidates": bleed_candidates,
+    "route_signals": route_signals, "affordances": affordances, "dialogues": dialogues, "broken_math": broken_math, "notation": notation, "turn_rules": turn_rules, "control_shares": control_shares, "bleed_candidates": bleed_candidates,
     "mapped_characters": mapped_characters, "confusables": confusables, "mojibake": mojibake, "top_words": top_words, "trigrams": trigrams, "out_of_list": out_of_list, "question_overlap": question_overlap, "shared_runs": shared_runs,
     "long_words": long_words, "spans_found": spans_found, "verse_windows": verse, "stem_windows": stem, "prose_windows": prose, "calibration_windows": calibration, "conversational_windows": conversational, "catechism_pairs": catechism, "corruption_report": corruption,
 }
@@ -256,5 +261,6 @@ SQL = {
         m AS (SELECT dataset, q, CASE WHEN len(x) = 0 THEN 0.0 ELSE len(list_intersect(x, y))::DOUBLE / len(x) END AS e, CASE WHEN len(x) + len(y) = 0 THEN 0.0 ELSE len(list_intersect(x, y))::DOUBLE / len(list_distinct(list_concat(x, y))) END AS j FROM p)
         SELECT dataset, round_even(avg(e), 6) AS echo, round_even(avg(j), 6) AS jaccard, count(*) FILTER (WHERE regexp_matches(lower(q), '^[{SPACE}]*what[{SPACE}]+(?:is|are)(?:[^{WORD}]|$)')) AS templates, CAST(sum(length(q)) AS BIGINT) AS chars FROM m GROUP BY dataset""",
     "long_words": rf"""
-        WITH t AS (SELECT doc_id, [lower(regexp_replace(x, '[^A-Za-z]', '', 'g')) for x in {tokens_sql('text')}] AS w {_TEXT}) SELECT doc_id, len([x for x in w if length(x) >= 5 and x not in {_STOP}]) AS n FROM t""",
+        WITH t AS (SELECT doc_id, [lower(regexp_replace(x, '[^A-Za-z]', '', 'g')) for x in {tokens_sql('text')}] AS w {_TEXT}) SELECT doc_id, len([x for x in w if length(x) >= 5 and x not in ('the', 'and', 'that', 'have', 'for', 'not', 'with', 'you', 'this', 'but', 'his', 'from', 'they', 'she', 'her', 'him', 'will', 'what', 'when', 'which', 'there', 'their', 'would', 'could', 'should', 'been', 'were', 'was', 'are', 'its', 'into',
+            'than', 'then', 'them', 'these', 'those', 'some', 'such', 'only', 'other', 'any', 'very', 'does', 'did', 'how', 'why', 'who', 'whom', 'whose', 'all', 'can', 'may')]) AS n FROM t""",
 }

@@ -65,13 +65,22 @@ def _byte_table(encoding: str) -> dict[int, str]:
 
 
 _TO_BYTES = {e: _byte_table(e) for e in {*MISREAD_AS, *WRITTEN_IN}}
+
+
+class _OrNul(dict):
+    """A table for ``str.translate`` that gives NUL for what it doesn't hold."""
+
+    def __missing__(self, key: int) -> str:
+        return "\x00"
+
+
+_BYTES_OR_NUL = {e: _OrNul({**{i: chr(i) for i in range(0x80)}, **t}) for e, t in _TO_BYTES.items()}
 _FROM_BYTES = {e: {ord(v): chr(k) for k, v in t.items()} for e, t in _TO_BYTES.items()}
 
 
 def _as_bytes(word: str, encoding: str) -> str:
     """The word with each character replaced by its byte's, or by NUL where it has none."""
-    table = _TO_BYTES[encoding]
-    return "".join(c if c < "\x80" else table.get(ord(c), "\x00") for c in word)
+    return word.translate(_BYTES_OR_NUL[encoding])
 
 
 def _undo_utf8(word: str, misread: str) -> str | None:

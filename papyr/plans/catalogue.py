@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from papyr.functions import signals as S
 from papyr.operators.windows import pinned
-from papyr.plans import pool_queries, signal_sql, text_queries
+from papyr.plans import pool_queries, report_queries, signal_sql, text_queries
 from papyr.session import spread, table
 
 
@@ -21,8 +21,8 @@ def flagship(spark: SparkSession, base: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"flagship": flagship} | text_queries.QUERIES | pool_queries.QUERIES
+    return {"flagship": flagship} | text_queries.QUERIES | pool_queries.QUERIES | report_queries.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return text_queries.SQL | pool_queries.SQL | signal_sql.SQL
+    return text_queries.SQL | pool_queries.SQL | signal_sql.SQL | report_queries.SQL

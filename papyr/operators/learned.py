@@ -54,22 +54,34 @@ def cross_validated(rows: DataFrame, vec: str, label: str, key: str, folds: int
 
 
 def moments(rows: DataFrame, vec: str) -> tuple[int, np.ndarray, np.ndarray]:
-    """(n, mean, covariance) of all vectors, summed in the cluster; what comes to the driver has the size of the dimensions squared."""
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.stat import Summarizer
+    """(n, mean, covariance) of all vectors.
+
+    A number of tasks that goes with the cores adds up outer products batch by batch; what comes to the driver is one sum a task,
+    of the size of the dimensions squared.
+    """
+    import pyarrow as pa
 
-    first = rows.where(F.col(vec).isNotNull()).select(F.size(vec).alias("d")).limit(1).collect()
-    if not first:
-        return 0, np.zeros(0), np.zeros((0, 0))
     own = rows.where(F.col(vec).isNotNull()).select(F.transform(vec, lambda x: x.cast("double")).alias("_x"))
-    got = own.select(Summarizer.metrics("mean", "count").summary(array_to_vector("_x")).alias("s")).collect()[0]["s"]
-    cells = own.select(F.posexplode("_x").alias("i", "x"), "_x").select("i", "x", F.posexplode("_x").alias("j", "y"))
-    pairs = cells.groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("s")).collect()
-    n, mean = got["count"], got["mean"].toArray()
-    cov = np.zeros((len(mean), len(mean)))
-    for r in pairs:
-        cov[r["i"], r["j"]] = r["s"]
-    return n, mean, cov / n - np.outer(mean, mean)
+    tasks = min(own.rdd.getNumPartitions(), 2 * own.sparkSession.sparkContext.defaultParallelism)
+
+    def run(batches):
+        n, total, outer = 0, None, None
+        for b in batches:
+            if b.num_rows:
+                x = np.asarray(b.column(0).flatten()).reshape(b.num_rows, -1)
+                n += len(x)
+                total = x.sum(axis=0) if total is None else total + x.sum(axis=0)
+                outer = x.T @ x if outer is None else outer + x.T @ x
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total.tobytes()]), pa.array([outer.tobytes()])], names=["n", "total", "outer"])
+
+    sums = own.coalesce(max(tasks, 1)).mapInArrow(run, "n bigint, total binary, outer binary").collect()
+    if not sums:
+        return 0, np.zeros(0), np.zeros((0, 0))
+    n = sum(r["n"] for r in sums)
+    mean = sum(np.frombuffer(r["total"]) for r in sums) / n
+    outer = sum(np.frombuffer(r["outer"]) for r in sums).reshape(len(mean), len(mean))
+    return n, mean, outer / n - np.outer(mean, mean)
 
 
 def one_class(rows: DataFrame, vec: str, keep: list[str], k: int = 30, ridge: float = 1e-2) -> DataFrame:

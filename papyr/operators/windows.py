@@ -82,6 +82,15 @@ def stem_windows(docs: DataFrame, keep: list[str], text: str = "text", words: in
     return _pick(_spans(d, starts, F.lit(words)), keep, lambda c: _usable(c) & (S.region_quality(c) >= 0.5), lambda c: F.when(S.stem_signal(c) >= floor, S.stem_signal(c)), k)
 
 
+def stem_excerpt(docs: DataFrame, keep: list[str], text: str = "text", words: int = 150, anchors: int = 200) -> DataFrame:
+    """(keep..., score, affordance, excerpt): of a document's windows around its first ``anchors`` sentences with a reasoning connective the one of highest signal; none where no window has any."""
+    d = _sentence_units(docs, text)
+    at = F.filter(F.transform("_units", lambda s, i: F.when((i >= F.col("_lo")) & S.has(s, S.CONNECTIVE), i)), lambda i: i.isNotNull())
+    starts = F.array_distinct(F.transform(F.slice(at, F.lit(1), F.lit(anchors)), lambda i: F.greatest(F.col("_lo"), i - 1)))
+    best = _pick(_spans(d, starts, F.lit(words)), keep, lambda c: _usable(c) & (S.region_quality(c) >= 0.5), lambda c: F.when(S.stem_signal(c) > 0, S.stem_signal(c)), 1)
+    return best.select(*keep, "score", F.lit("stem_reasoning").alias("affordance"), "excerpt")
+
+
 def conversational_windows(docs: DataFrame, keep: list[str], text: str = "text", words: int = 220, k: int = 3, floor: float = 0.35) -> DataFrame:
     """Windows of lessons in question and answer, from the sentence before each of the first 300 questions or marks."""
     d = _sentence_units(docs, text)

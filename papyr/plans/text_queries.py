@@ -176,6 +176,15 @@ def prose(spark, base):
     return windows.prose_windows(_docs(spark, base).select("doc_id", "text"), "doc_id", ["doc_id"], words=40, floor=0.5)
 
 
+def prose_bands(spark, base):
+    """Windows in the three bands of length, at the usual floor."""
+    return windows.prose_windows(_docs(spark, base), "doc_id", ["doc_id"])
+
+
+def stem_excerpts(spark, base):
+    return windows.stem_excerpt(_docs(spark, base), ["doc_id"])
+
+
 def calibration(spark, base):
     return windows.calibration_windows(_docs(spark, base).select("doc_id", "text"), "doc_id", ["doc_id"], floor=0.5)
 
@@ -200,7 +209,7 @@ QUERIES = {
     "doc_char_counts": doc_char_counts, "gibberish": gibberish, "ocr_scores": ocr_scores, "stripped_lines": stripped_lines, "sentence_counts": sentence_counts, "region_quality": region_quality, "openings": openings,
     "route_signals": route_signals, "affordances": affordances, "dialogues": dialogues, "broken_math": broken_math, "notation": notation, "turn_rules": turn_rules, "control_shares": control_shares, "bleed_candidates": bleed_candidates,
     "mapped_characters": mapped_characters, "confusables": confusables, "mojibake": mojibake, "top_words": top_words, "trigrams": trigrams, "out_of_list": out_of_list, "question_overlap": question_overlap, "shared_runs": shared_runs,
-    "long_words": long_words, "spans_found": spans_found, "verse_windows": verse, "stem_windows": stem, "prose_windows": prose, "calibration_windows": calibration, "conversational_windows": conversational, "catechism_pairs": catechism, "corruption_report": corruption,
+    "long_words": long_words, "spans_found": spans_found, "verse_windows": verse, "stem_windows": stem, "prose_windows": prose_bands, "short_prose_windows": prose, "stem_excerpts": stem_excerpts, "calibration_windows": calibration, "conversational_windows": conversational, "catechism_pairs": catechism, "corruption_report": corruption,
 }
 
 

@@ -107,3 +107,19 @@ def test_clean_rows(spark):
     df = spark.createDataFrame([("a", "after- wards the most"), ("b", "the most ter-"), ("c", None), ("d", "")], "k string, answer string")
     got = {r["k"]: (r["answer"], r["keep"], r["joined"]) for r in R.clean_rows(df, ["answer"], lex).collect()}
     assert got == {"a": ("afterwards the most", True, 1), "b": ("the most ter-", False, 0), "c": (None, True, 0), "d": ("", True, 0)}
+
+
+def test_notation_turns_and_variants(spark):
+    from papyr.operators import generate
+
+    df = spark.createDataFrame([(["H2O", "is", "20th"], [1.0, 2.0, 3.0], [3, 2, 4])], "w array<string>, b array<double>, s array<int>")
+    got = df.select(S.mask_notation(F.col("w"), F.col("b"), F.col("s")).alias("m")).collect()[0]["m"]
+    assert (got["words"], got["bits"], got["bytes"]) == (["is", "20th"], [2.0, 3.0], [2, 4])
+    df = spark.createDataFrame([([("user", "Cæsar—so"), ("assistant", None)],)], "c array<struct<role:string,content:string>>")
+    assert [tuple(t) for t in df.select(N.normalise_turns(F.col("c")).alias("c")).collect()[0]["c"]] == [("user", "Caesar--so"), ("assistant", None)]
+    q = spark.createDataFrame([("k", "Who?", None)], "doc_index string, question string, conversations array<struct<role:string,content:string>>")
+    c = spark.createDataFrame([("m", None, [("user", "a"), ("assistant", "b"), ("user", "c")])], q.schema)
+    every = generate.build_all(q, c, spark.createDataFrame([("x", 1)], "doc_index string, extra int"))
+    assert sorted((r["id"], r["text"]) for r in generate.scoring_input(every).collect()) == [("k", "Who?"), ("m#0", "a"), ("m#2", "c")]
+    v = spark.createDataFrame([("1", "t", "old", " ", None)], "id string, type string, q_vintage string, q_modern string, q_authentic string")
+    assert [tuple(r) for r in generate.variants(v).collect()] == [("1", "t", "vintage", "old")]

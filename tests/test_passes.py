@@ -86,6 +86,12 @@ def test_files(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "even")).count() == 25
 
 
+def test_sinks_and_migration(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "dataset string, n int")
+    files.write_by_dataset(df, str(tmp_path / "by"))
+    assert sorted((r["dataset"], r["n"]) for r in spark.read.json(str(tmp_path / "by")).select("dataset", "n").collect()) == [("a", 1), ("b", 2)]
+
+
 def test_locate(spark):
     m = files.offsets(spark.createDataFrame([(0, 3), (1, 2), (2, 4)], "index int, num_docs long"))
     got = files.locate(spark.createDataFrame([(3,), (8,), (99,)], "n long"), "n", m)

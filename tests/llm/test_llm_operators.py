@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 import random
 from collections import Counter
@@ -589,3 +590,37 @@ def test_more_words_than_vectors(spark, monkeypatch):
         assert len(reader.words.ids) > 10 * 200
         found.append({i for i, t in enumerate(rows) if scan.repair(t, reader).misread})
     assert len(found[0] & found[1]) >= 0.97 * max(map(len, found))
+
+
+def test_more_forms_and_rare_words_than_tasks_hold(spark, monkeypatch):
+    """The same texts come out however few forms and rare words the tasks hold: the others are asked for."""
+    base = f"{DATA}/sf0.01"
+
+    def repaired():
+        return sorted((tuple(r) for r in queries.p4_repaired(spark, base).collect()), key=repr)
+
+    whole = repaired()
+    assert sum(r[3] for r in whole) > 100 and sum(r[5] for r in whole) > 100
+    monkeypatch.setattr(furniture, "FORMS", 20)
+    assert repaired() == whole
+    monkeypatch.setattr(scan, "RARE_WORDS", 50)
+    assert repaired() == whole
+
+
+def test_trusted_words_have_no_bound_but_their_share(spark):
+    """All words that occur often enough are trusted, and words of the lexicon keep their counts, however many others are more frequent."""
+    words = ["".join(x) for x in itertools.islice(itertools.product("akopswxyz", repeat=6), 60_500)]
+    texts = [(" ".join(words[i : i + 500]),) for i in range(0, len(words), 500)] * 6 + [("harbour",)] * 3
+    learned = scan.learn(spark.createDataFrame(texts, "text string"), spark.createDataFrame([("harbour",), ("anchor",)], "word string"))
+    assert learned.counts == {w: 6 for w in words} | {"harbour": 3, "anchor": 1}
+    last = max(w for w in words if w.endswith("s"))
+    assert scan.Reader(learned).status(last[:-1] + "f") == ("maybe", {last: 1})
+
+
+def test_keys_beyond_the_filter_are_none(spark):
+    from papyr.llm import rest
+
+    asker = rest.Asker(rest.filter_of(spark.createDataFrame([(f"wÿ{i}",) for i in range(5000)], "key string")))
+    assert all(asker.may_hold(f"wÿ{i}") for i in range(5000)) and sum(asker.may_hold(f"x{i}") for i in range(5000)) < 50
+    asker.begin({"wÿ1": (3, b""), "wÿ2": None})
+    assert asker.get("wÿ1") == (3, b"") and asker.get("wÿ2") is None and asker.get("wÿ3") is None and asker.asked == {"wÿ3"}

@@ -7,6 +7,7 @@ unless said otherwise. Patterns are Java regular expressions.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -86,6 +87,9 @@ TURN_MARK = r"(?iU)(?:^|\n|\.\s)\s*(?:Q\.|A\.|Ques\b|Ans\b)"
 SPEAKER = "(?U)(?:^|(?<=[.!?”\"'])\\s)([A-Z][a-z]{0,9}\\.)(?=\\s+[A-Z“\"'])"
 FOREIGN = "[\\x{3000}-\\x{30FF}\\x{3400}-\\x{9FFF}\\x{AC00}-\\x{D7A3}\\x{F900}-\\x{FAFF}\\x{FF00}-\\x{FFEF}\\x{FFFD}\\x{200B}-\\x{200D}\\x{FEFF}]"
 GIBBERISH = r"(?<![A-Za-z0-9])(?:(?=[0-9]*[A-Za-z])(?=[A-Za-z]*[0-9])[A-Za-z0-9]+|[0-9A-Za-z&&[^aeiouyAEIOUY]]{4,})(?![A-Za-z0-9])"
+FIGURE = r"[\p{Nd}²³¹⁰⁴-⁹₀-₉]"
+# All but ASCII and the signs – — ‘ ’ “ ” …, which are neither of words nor of cases.
+NOT_PLAIN = r"[\x{80}-\x{2012}\x{2015}-\x{2017}\x{201A}\x{201B}\x{201E}-\x{2025}\x{2027}-\x{10FFFF}]"
 CONTROL = r"[\x00-\x1F\x80-\x9F]"
 NUMBERED = r"(?U)\b[Qq][.\s]\s*\d+[.\s]|\b\d{1,3}\.\s+[A-Z][a-z]"
 
@@ -98,6 +102,11 @@ def has(c: Column, pattern: str) -> Column:
     return F.rlike(c, F.lit(pattern))
 
 
+def plain(pattern: str) -> str:
+    """A fixed pattern without its flags for case and Unicode, which says the same of text in lower case without :data:`NOT_PLAIN`, and is faster."""
+    return pattern.replace("(?iU)", "").replace("(?U)", "")
+
+
 def collapse(c: Column) -> Column:
     """White space as single blanks, none at the ends."""
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
@@ -120,20 +129,32 @@ def sentences(c: Column) -> Column:
 def strip_lines(c: Column) -> Column:
     """The text without bare numbers, short roman numerals, lines without letters, short notes and running heads in capitals. Blank lines stay."""
 
-    def keep(line: Column) -> Column:
-        s = F.regexp_replace(line, r"(?U)^\s+|\s+$", "")
-        letters, words = count(s, r"\p{L}"), word_count(s)
+    def keep(s: Column) -> Column:
+        words = word_count(s)
         note = has(s, "^[*†‡]") & (words <= 12)
-        head = (words <= 10) & (F.length(s) <= 80) & (count(s, r"\p{Lu}") > 0.7 * letters)
-        return (s == "") | ~(has(s, r"^[\d.,;:\-—\s]+$") | has(s, "(?i)^[ivxlcdm]{1,8}$") | (letters == 0) | note | head)
+        head = (F.length(s) <= 80) & (words <= 10) & (count(s, r"\p{Lu}") > 0.7 * count(s, r"\p{L}"))
+        return (s == "") | ~(~has(s, r"\p{L}") | has(s, r"^[\d.,;:\-—\s]+$") | has(s, "(?i)^[ivxlcdm]{1,8}$") | note | head)
 
-    return F.array_join(F.filter(F.split(c, "\n"), keep), "\n")
+    # a lambda's argument is computed once, an expression wherever it stands
+    trimmed = lambda line: F.array(F.regexp_replace(line, r"(?U)^\s+|\s+$", ""))
+    return F.array_join(F.filter(F.split(c, "\n"), lambda line: F.exists(trimmed(line), keep)), "\n")
 
 
 def _clamp(c: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), c))
 
 
+def quality_of(solid: Column, letters: Column, figures: Column, words: Column, stop: Column, per: Column) -> Column:
+    """:func:`region_quality` of counts: signs but white space, letters, figures, words of plain letters, function words, and words a sentence. 0 without words."""
+    score = (
+        _clamp((F.try_divide(letters, solid) - 0.60) / 0.30)
+        + _clamp((0.05 - F.try_divide(figures, solid)) / 0.05)
+        + _clamp((F.try_divide(stop, words) - 0.20) / 0.15)
+        + _clamp((per - 8) / 12)
+    ) / 4
+    return F.when((solid > 0) & (words > 0), score).otherwise(0.0)
+
+
 def region_quality(c: Column) -> Column:
     """0 to 1: the mean of four clamped terms for letters, figures, function words and sentence length. 0 without words."""
     solid = F.length(F.regexp_replace(c, r"(?U)\s", ""))
@@ -141,13 +162,7 @@ def region_quality(c: Column) -> Column:
     stop = count(c, r"(?i)(?<![A-Za-z])(?:" + "|".join(dict.fromkeys(STOP_WORDS)) + r")(?![A-Za-z])")
     parts = F.size(sentences(c))
     per = F.coalesce(F.try_divide(word_count(c), parts), F.lit(0.0))
-    score = (
-        _clamp((F.try_divide(count(c, r"\p{L}"), solid) - 0.60) / 0.30)
-        + _clamp((0.05 - F.try_divide(count(c, r"[\p{Nd}²³¹⁰⁴-⁹₀-₉]"), solid)) / 0.05)
-        + _clamp((F.try_divide(stop, words) - 0.20) / 0.15)
-        + _clamp((per - 8) / 12)
-    ) / 4
-    return F.when((solid > 0) & (words > 0), score).otherwise(F.when(c.isNotNull(), 0.0))
+    return F.when(c.isNotNull(), quality_of(solid, count(c, r"\p{L}"), count(c, FIGURE), words, stop, per))
 
 
 def first_word(c: Column) -> Column:
@@ -161,16 +176,16 @@ def is_self_contained(c: Column) -> Column:
 
 def has_affordance(c: Column) -> Column:
     """Whether a text is no form or table of dot leaders."""
-    return count(c, LEADER) < 2
+    return ~(F.contains(c, F.lit("..")) | F.contains(c, F.lit("__"))) | (count(c, LEADER) < 2)
 
 
 def foreign_count(c: Column) -> Column:
-    return count(c, FOREIGN)
+    return F.when(F.octet_length(c) == F.length(c), 0).otherwise(count(c, FOREIGN))
 
 
 def gibberish_ratio(c: Column) -> Column:
     """Share of tokens that mix letters and figures, or have four signs and no vowel."""
-    return F.when(c.isNotNull(), F.coalesce(F.try_divide(count(c, GIBBERISH), count(c, "[A-Za-z0-9]+")), F.lit(0.0)))
+    return F.when(has(c, GIBBERISH), F.try_divide(count(c, GIBBERISH), count(c, "[A-Za-z0-9]+"))).otherwise(F.when(c.isNotNull(), 0.0))
 
 
 def is_garbage(c: Column) -> Column:
@@ -194,29 +209,30 @@ def has_broken_math(c: Column) -> Column:
     return has(c, BROKEN_MATH)
 
 
-def is_composition(c: Column) -> Column:
-    """Whether a text is a composed document: one strong phrase, or three weak ones."""
-    return has(c, STRONG_FORM) | (count(c, WEAK_FORM) >= 3)
+def is_composition(c: Column, form: Callable[[str], str] = str) -> Column:
+    """Whether a text is a composed document: one strong phrase, or three weak ones. ``form`` fits the patterns to the text, see :func:`plain`."""
+    return has(c, form(STRONG_FORM)) | (count(c, form(WEAK_FORM)) >= 3)
 
 
-def narrative_signal(c: Column) -> Column:
-    """0 to 1 for scenes with speakers and events; quotes count only beside a verb of speech."""
-    w, speech = word_count(c), count(c, SPEECH)
+def narrative_signal(c: Column, words: Column | None = None, past: Column | None = None, speech: Column | None = None) -> Column:
+    """0 to 1 for scenes with speakers and events; quotes count only beside a verb of speech. Counts that are known may be given."""
+    w = word_count(c) if words is None else words
+    past, speech = count(c, PAST) if past is None else past, count(c, SPEECH) if speech is None else speech
     quotes = F.when(speech > 0, count(c, QUOTE)).otherwise(0)
-    score = F.try_divide(speech + quotes, w) * 12 + F.try_divide(count(c, PAST), w) * 2
+    score = F.try_divide(speech + quotes, w) * 12 + F.try_divide(past, w) * 2
     return F.when(w >= 20, F.least(F.lit(1.0), score)).otherwise(F.when(c.isNotNull(), 0.0))
 
 
-def affordance_label(c: Column) -> Column:
-    """The coarse route of an excerpt, the first that applies."""
-    past = count(c, PAST)
+def affordance_label(c: Column, form: Callable[[str], str] = str, words: Column | None = None, past: Column | None = None, speech: Column | None = None) -> Column:
+    """The coarse route of an excerpt, the first that applies. ``form`` fits the patterns to the text, see :func:`plain`; counts that are known may be given."""
+    past = count(c, PAST) if past is None else past
     return (
-        F.when(is_composition(c), "composition")
-        .when(has(c, ORDINAL) & (past < 6), "procedural")
-        .when((count(c, FIRST_PERSON) >= 2) & has(c, OPINION), "opinion")
-        .when(narrative_signal(c) >= 0.3, "narrative")
-        .when(has(c, REASON), "argument")
-        .when((past >= 8) & has(c, r"(?U)\b1[5-9]\d\d\b"), "narrative")
+        F.when(is_composition(c, form), "composition")
+        .when(has(c, form(ORDINAL)) & (past < 6), "procedural")
+        .when((count(c, form(FIRST_PERSON)) >= 2) & has(c, form(OPINION)), "opinion")
+        .when(narrative_signal(c, words, past, speech) >= 0.3, "narrative")
+        .when(has(c, form(REASON)), "argument")
+        .when((past >= 8) & has(c, form(r"(?U)\b1[5-9]\d\d\b")), "narrative")
         .otherwise(F.when(c.isNotNull(), "expository"))
     )
 

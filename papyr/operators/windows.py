@@ -50,7 +50,8 @@ def _spans(doc: DataFrame, starts: Column, length: Column) -> DataFrame:
 
 def _sentence_units(docs: DataFrame, text: str) -> DataFrame:
     got = pinned(docs, _units=S.sentences(S.strip_lines(F.col(text))))
-    sizes = F.transform("_units", lambda s: F.size(F.split(s, " ")).cast("long"))
+    # units are collapsed, so every blank ends a word
+    sizes = F.transform("_units", lambda s: (F.octet_length(s) - F.octet_length(F.replace(s, F.lit(" "), F.lit(""))) + 1).cast("long"))
     lo = F.least(F.floor(F.size("_units") / 10), F.size("_units") - 1).cast("int")
     return pinned(got.where(F.size("_units") > 0), _sums=prefix_sums(sizes), _lo=lo)
 
@@ -116,29 +117,103 @@ def draw(key: Column, purpose: str, n: Column | None = None, seed: int = 0) -> C
     return F.conv(F.substring(F.md5(F.concat(*parts)), 1, 8), 16, 10).cast("double") / 4294967296.0
 
 
+# Fixed pattern: [^A-Za-z ]+, which takes the JVM twenty times as long when written so.
+NO_LETTER = r"[\x00-\x1F!-@\[-`{-\x{10FFFF}]+"
+
+
+def _tallies(d: DataFrame) -> DataFrame:
+    """``d`` (_units) with _tallies: 0 and the running sums of what :func:`papyr.functions.signals.region_quality` counts.
+
+    Units are collapsed and joined by blanks, which no counted thing spans, so a window's counts are differences of these.
+    """
+    fields = ("solid", "letters", "figures", "words", "stop")
+    unspaced = lambda c: F.replace(c, F.lit(" "), F.lit(""))
+
+    # for ASCII, whose letters and figures are few, cheaper counts
+    def seen(s: Column) -> Column:
+        return F.struct(s.alias("s"), F.length(unspaced(s)).alias("solid"), (F.octet_length(s) == F.length(s)).alias("ascii"), F.lower(F.regexp_replace(s, NO_LETTER, " ")).alias("words"))
+
+    def split(x: Column) -> Column:
+        letters = F.when(x["ascii"], F.octet_length(unspaced(x["words"]))).otherwise(F.length(F.regexp_replace(x["s"], r"\P{L}+", "")))
+        figures = F.when(x["ascii"] & ~S.has(x["s"], "[0-9]"), 0).otherwise(S.count(x["s"], S.FIGURE))
+        return F.struct(x["solid"].alias("solid"), letters.alias("letters"), figures.alias("figures"), F.array_remove(F.split(x["words"], " "), F.lit("")).alias("words"))
+
+    def tally(x: Column) -> Column:
+        sums = (x["solid"], x["letters"], x["figures"], F.size(x["words"]), F.size(F.filter(x["words"], lambda w: w.isin(S.STOP_WORDS))))
+        return F.struct(*[c.cast("long").alias(n) for n, c in zip(fields, sums, strict=True)])
+
+    zero = F.array(F.struct(*[F.lit(0).cast("long").alias(n) for n in fields]))
+    add = lambda acc, x: F.concat(acc, F.transform(F.slice(acc, -1, 1), lambda y: F.struct(*[(y[n] + x[n]).alias(n) for n in fields])))
+    return pinned(pinned(d, _tally=F.transform(F.transform(F.transform("_units", seen), split), tally)), _tallies=F.aggregate("_tally", zero, add)).drop("_tally")
+
+
+def _tallied_quality(a: Column, b: Column) -> Column:
+    """The region quality of units ``a`` to ``b``, the same number as of their text."""
+    lo, hi = F.element_at(F.col("_tallies"), a + 1), F.element_at(F.col("_tallies"), b + 1)
+    counts = F.struct(*[(hi[n] - lo[n]).alias(n) for n in ("solid", "letters", "figures", "words", "stop")], (F.element_at(F.col("_sums"), b + 1) - F.element_at(F.col("_sums"), a + 1)).alias("tokens"))
+    return _once(counts, lambda x: S.quality_of(x["solid"], x["letters"], x["figures"], x["words"], x["stop"], x["tokens"] / (b - a)))
+
+
 def prose_windows(docs: DataFrame, key: str, keep: list[str], text: str = "text", k: int = 3, floor: float = 0.7, tries: int = 10, words: int | None = None, seed: int = 0) -> DataFrame:
     """Up to ``k`` windows of running prose from seeded starts; in the order of the draws, the first that pass the gates and overlap none before.
 
-    Lengths fall in bands: 40 percent 120-180 words, 35 percent 300-450, the rest 550-800.
+    Lengths fall in bands: 40 percent 120-180 words, 35 percent 300-450, the rest 550-800. What would be rejected anyway is
+    neither drawn nor judged: windows drawn before, those that overlap a kept one, and all when no gap between kept ones
+    holds the least length or reaches the text's end.
     """
-    d = _sentence_units(docs, text)
-    tries_ = F.sequence(F.lit(1), F.lit(k * tries))
+    d = _tallies(_sentence_units(docs, text))
     u = lambda purpose, t: draw(F.col(key), purpose, t, seed)
+    least, sums, n_units = words or 120, F.col("_sums"), F.size("_units")
 
-    def span(t: Column) -> Column:
-        a = (F.col("_lo") + F.floor(u("start", t) * (F.size("_units") - F.col("_lo")))).cast("int")
-        band, within = u("band", t), u("words", t)
-        n = F.lit(words) if words else F.when(band < 0.40, 120 + F.floor(within * 61)).when(band < 0.75, 300 + F.floor(within * 151)).otherwise(550 + F.floor(within * 251))
-        goal = F.element_at(F.col("_sums"), a + 1) + n
-        end = F.size(F.filter(F.col("_sums"), lambda s: s < goal))
-        return F.struct(a.alias("a"), F.least(end, F.size("_units")).cast("int").alias("b"), t.alias("t"))
+    def start(t: Column) -> Column:
+        return F.struct(t.alias("t"), (F.col("_lo") + F.floor(u("start", t) * (n_units - F.col("_lo")))).cast("int").alias("a"))
 
-    d = pinned(d, _spans=F.transform(tries_, span))
-    cands = F.transform("_spans", lambda s: F.struct((-s["t"]).cast("double").alias("score"), s["a"].alias("a"), s["b"].alias("b"), _joined(s["a"], s["b"]).alias("text")))
-    passed = F.filter(cands, lambda c: _usable(c["text"]) & (S.region_quality(c["text"]) >= floor))
-    d = pinned(d, _cands=passed)
-    best = greedy_disjoint(F.col("_cands"), k)
-    return d.select(*keep, F.posexplode(best).alias("n", "w")).select(*keep, "n", F.col("w.a").alias("first"), F.col("w.b").alias("last"), F.bround(S.region_quality(F.col("w.text")), 3).alias("score"), S.affordance_label(F.col("w.text")).alias("affordance"), F.col("w.text").alias("excerpt"))
+    def end(x: Column) -> Column:
+        band, within, a = u("band", x["t"]), u("words", x["t"]), x["a"]
+        n = F.lit(words) if words else F.when(band < 0.40, 120 + F.floor(within * 61)).when(band < 0.75, 300 + F.floor(within * 151)).otherwise(550 + F.floor(within * 251))
+        from_a = F.element_at(sums, a + 1)
+        # a unit has a word at least, so no more than n units are needed
+        reached = _once(n.cast("int"), lambda n: a + F.size(F.filter(F.slice(sums, a + 1, n + 1), lambda s: s < from_a + n)))
+        return F.struct(a.alias("a"), F.when(F.element_at(sums, -1) - from_a <= least, n_units).otherwise(F.least(reached, n_units)).cast("int").alias("b"))
+
+    def room(kept: Column) -> Column:
+        gap = lambda p: F.array_min(F.transform(F.filter(kept, lambda w: w["a"] >= p), lambda w: F.element_at(sums, w["a"] + 1))) - F.element_at(sums, p + 1)
+        return F.exists(F.concat(F.array("_lo"), F.transform(kept, lambda w: w["b"])), lambda p: (p < n_units) & (F.coalesce(gap(p), F.lit(least)) >= least))
+
+    code = lambda s: s["a"].cast("long") * 2**32 + s["b"]
+    free = lambda kept, s: ~F.exists(kept, lambda w: (s["a"] < w["b"]) & (s["b"] > w["a"]))
+
+    def judged(acc: Column, s: Column) -> Column:
+        opens = F.filter(F.array(s), lambda x: S.is_self_contained(F.element_at(F.col("_units"), x["a"] + 1)))
+        rated = F.transform(opens, lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"), _tallied_quality(x["a"], x["b"]).alias("score")))
+        passed = F.filter(rated, lambda x: (x["score"] >= floor) & F.exists(F.array(_joined(x["a"], x["b"])), lambda c: S.has_affordance(c) & ~S.is_garbage(c)))
+        return F.struct(passed.alias("new"), F.concat(acc["seen"], F.array(code(s))).alias("seen"))
+
+    def tried(acc: Column, t: Column) -> Column:
+        fresh = F.filter(F.transform(F.array(start(t)), end), lambda s: ~F.array_contains(acc["seen"], code(s)) & free(acc["kept"], s))
+        results = F.transform(fresh, lambda s: judged(acc, s))
+        added = lambda r: _once(F.concat(acc["kept"], r["new"]), lambda kept: F.struct(kept.alias("kept"), r["seen"].alias("seen"), F.when(F.size(r["new"]) == 0, True).otherwise((F.size(kept) < k) & room(kept)).alias("room")))
+        return F.coalesce(F.get(F.transform(results, added), F.lit(0)), acc)
+
+    zero = F.struct(F.array().cast("array<struct<a:int,b:int,score:double>>").alias("kept"), F.array().cast("array<bigint>").alias("seen"), F.lit(k > 0).alias("room"))
+    best = F.aggregate(F.sequence(F.lit(1), F.lit(k * tries)), zero, lambda acc, t: F.when(acc["room"], tried(acc, t)).otherwise(acc), lambda acc: acc["kept"])
+    best = pinned(d, _best=best).select(*keep, "_units", "_sums", F.posexplode("_best").alias("n", "w"))
+    best = pinned(best, _text=_joined(F.col("w.a"), F.col("w.b")), _words=F.element_at(sums, F.col("w.b") + 1) - F.element_at(sums, F.col("w.a") + 1))
+    return _labelled(best).select(*keep, "n", F.col("w.a").alias("first"), F.col("w.b").alias("last"), F.bround("w.score", 3).alias("score"), F.col("_label").alias("affordance"), F.col("_text").alias("excerpt"))
+
+
+def _once(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a column that is computed once, wherever and however often ``use`` has it."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
+def _labelled(d: DataFrame) -> DataFrame:
+    """``d`` (_text, _words) with _label, the affordance label of the text."""
+    c = F.col("_text")
+    d = pinned(d, _low=F.when((F.octet_length(c) == F.length(c)) | ~S.has(c, S.NOT_PLAIN), F.lower(c)))
+    d = pinned(d, _past=S.count(F.when(F.col("_low").isNotNull(), c), S.plain(S.PAST)), _speech=S.count(F.col("_low"), S.plain(S.SPEECH)))
+    low = S.affordance_label(F.col("_low"), S.plain, F.col("_words"), F.col("_past"), F.col("_speech"))
+    return d.withColumn("_label", F.when(F.col("_low").isNotNull(), low).otherwise(S.affordance_label(c)))
 
 
 def prose_excerpt(docs: DataFrame, key: str, keep: list[str], text: str = "text", words: int = 150, floor: float = 0.7, tries: int = 16, seed: int = 0) -> DataFrame:

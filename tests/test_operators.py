@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
+import time
 
 import pytest
 from helpers import rows
@@ -163,6 +165,68 @@ def test_windows_keep_their_promises(spark):
     assert len(got) == 1 and got[0]["score"] == 1.0 and got[0]["excerpt"].count("\n") == 11
 
 
+def _window_texts():
+    base = "It is commonly said that the engine had been altered by the master of the works, and the news of it was known to all who were there. "
+    odd = [
+        base, base.upper(), "“He said,” replied the king of the isle, “that they had ſeen 12 ships and xxxx b4 in the year 1745 of the bay.” ", "Table ...... 14 of the things that were there .... 15 and of the rest. ", "一二三 of the and \uff21 \ufffd in it. ",
+        "Whereas the defendant, aforesaid, had walked to wit and talked, since he asked for it to be paid in the hall of the town. ", "These were the things that he had. ", "Thus 1a 2b 3c 4d. \"It was\" said. ",
+    ]
+    rng = random.Random(7)
+    mixed = ["".join(rng.choice(odd) for _ in range(n)) for n in (1, 2, 3, 5, 8, 13, 40, 90)]
+    return [base * 80, base * 3, base.upper() * 30, "", " \n\t", "x", *mixed, *["\n".join(m.split(". ")) for m in mixed], "No stop at all " * 300]
+
+
+@pytest.mark.parametrize("words,floor,k", [(None, 0.7, 3), (None, 0.0, 3), (60, 0.5, 4), (1, 0.3, 2)])
+def test_prose_windows_are_the_first_of_all_tries(spark, words, floor, k):
+    def u(purpose, key, t):
+        return int(hashlib.md5(f"0:{purpose}:{key}:{t}".encode()).hexdigest()[:8], 16) / 2**32
+
+    df = spark.createDataFrame(list(enumerate(_window_texts())), "doc_id int, text string")
+    tries = []
+    for d in df.select("doc_id", S.sentences(S.strip_lines(F.col("text"))).alias("units")).collect():
+        sizes = [len(x.split(" ")) for x in d["units"]]
+        lo = min(len(sizes) // 10, len(sizes) - 1)
+        for t in range(1, k * 10 + 1) if sizes else ():
+            key, band = d["doc_id"], u("band", d["doc_id"], t)
+            a = b = lo + int(u("start", key, t) * (len(sizes) - lo))
+            n = words or [120 + int(u("words", key, t) * 61), 300 + int(u("words", key, t) * 151), 550 + int(u("words", key, t) * 251)][(band >= 0.40) + (band >= 0.75)]
+            while b < len(sizes) and sum(sizes[a:b]) < n:
+                b += 1
+            tries.append((key, t, a, b, " ".join(d["units"][a:b])))
+    c = F.col("text")
+    judged = spark.createDataFrame(tries, "doc_id int, t int, a int, b int, text string").select("*", (S.is_self_contained(c) & (S.count(c, S.LEADER) < 2) & ~S.is_garbage(c) & (S.region_quality(c) >= floor)).alias("good"), F.bround(S.region_quality(c), 3).alias("score"), S.affordance_label(c).alias("label"))
+    want = {}
+    for r in sorted(judged.collect(), key=lambda r: (r["doc_id"], r["t"])):
+        kept = want.setdefault(r["doc_id"], [])
+        if r["good"] and len(kept) < k and all(r["a"] >= x[1] or r["b"] <= x[0] for x in kept):
+            kept.append((r["a"], r["b"], r["score"], r["label"], r["text"]))
+    got = {}
+    for r in windows.prose_windows(df, "doc_id", ["doc_id"], k=k, floor=floor, words=words).orderBy("doc_id", "n").collect():
+        got.setdefault(r["doc_id"], []).append(tuple(r[x] for x in ("first", "last", "score", "affordance", "excerpt")))
+        assert r["n"] == len(got[r["doc_id"]]) - 1
+    assert got == {key: x for key, x in want.items() if x} and len({x[3] for w in got.values() for x in w}) > 1
+
+
+def test_prose_windows_judge_no_text_thirty_times(spark):
+    """Thirty tries in a text of a few sentences are few windows: they cost no more than some judgements of the whole text."""
+    texts = [x for x in _window_texts() if 200 < len(x) < 1500]
+    df = spark.range(2000, numPartitions=4).select(F.col("id").alias("doc_id"), F.element_at(F.array(*[F.lit(x) for x in texts]), (F.col("id") % len(texts) + 1).cast("int")).alias("text")).cache()
+    assert df.count() == 2000
+    c = F.col("text")
+
+    def seconds(q):
+        took = []
+        for _ in range(3):
+            began = time.perf_counter()
+            q.write.format("noop").mode("overwrite").save()
+            took.append(time.perf_counter() - began)
+        return min(took)
+
+    once = seconds(df.select(S.is_self_contained(c), S.has_affordance(c), S.is_garbage(c), S.region_quality(c), S.affordance_label(c)))
+    assert seconds(windows.prose_windows(df, "doc_id", ["doc_id"])) < 4 * once
+    df.unpersist()
+
+
 def test_quotas(spark):
     df = spark.createDataFrame([("x", 100), ("y", 25), ("z", 4), ("o", 0)], "category string, n long")
     assert {r["category"]: r["quota"] for r in sampling.tempered_quotas(df, 34).collect()} == {"x": 20, "y": 10, "z": 4, "o": 0}
